@@ -1,0 +1,78 @@
+"""Column rules and CSV scans."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from weftgraph.functions import to_attribute, to_flag, to_integer
+from weftgraph.sources import csv
+
+
+def applied(spark, rule, *texts):
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = frame.select("i", rule(F.col("t")).alias("v")).orderBy("i").collect()
+    return [r.v for r in rows]
+
+
+def test_flags(spark):
+    assert applied(spark, to_flag, "1", " TRUE ", "t", "Yes", "\ttrue\n") == [True] * 5
+    assert applied(spark, to_flag, "0", "", "on", None, "  ", "10") == [False] * 6
+
+
+def test_integers(spark):
+    assert applied(spark, to_integer, "", None, " 5 ", "-3", "12") == [0, 0, 5, -3, 12]
+    for bad in ("abc", "  ", "1.5"):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            applied(spark, to_integer, bad)
+
+
+def test_attribute(spark):
+    assert applied(spark, to_attribute, "", None, " EN ", "  ", " DE ") == [
+        "UNK", "UNK", "EN", "", "DE",
+    ]
+
+
+HEADER = "views,mature,life_time,created_at,updated_at,numeric_id,dead_account,language,affiliate"
+
+
+def write(tmp_path, name, text):
+    folder = tmp_path / name
+    folder.mkdir()
+    (folder / "part.csv").write_text(text)
+    return str(folder)
+
+
+def test_read_vertices(spark, tmp_path):
+    path = write(tmp_path, "v", f"{HEADER}\n7879,1,969,2016-02-16,2018-10-12,0,0,EN,1\n,,,x,y,5, TRUE ,,on\n")
+    frame = csv.read_vertices(spark, path)
+    assert [f"{n} {t}" for n, t in frame.dtypes] == [
+        "id bigint", "views bigint", "mature boolean", "life_time int",
+        "dead_account boolean", "language string", "affiliate boolean",
+    ]
+    assert [tuple(r) for r in frame.orderBy("id").collect()] == [
+        (0, 7879, True, 969, False, "EN", True), (5, 0, False, 0, True, "UNK", False),
+    ]
+
+
+def test_read_vertices_finds_columns_by_name(spark, tmp_path):
+    path = write(tmp_path, "v", "language,numeric_id\nDE,3\n")
+    assert [tuple(r) for r in csv.read_vertices(spark, path).collect()] == [
+        (3, 0, False, 0, False, "DE", False)
+    ]
+
+
+@pytest.mark.parametrize("row", ["x,1,1,,,1,0,EN,0", "1,1,1,,,,0,EN,0", "1,1,z,,,1,0,EN,0"])
+def test_read_vertices_rejects_bad_numbers(spark, tmp_path, row):
+    path = write(tmp_path, "v", f"{HEADER}\n{row}\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|missing numeric_id"):
+        csv.read_vertices(spark, path).collect()
+
+
+def test_read_edges(spark, tmp_path):
+    path = write(tmp_path, "e", "numeric_id_1,numeric_id_2\n98343,141493\n 3 , 4\n")
+    assert sorted(tuple(r) for r in csv.read_edges(spark, path).collect()) == [(3, 4), (98343, 141493)]
+    for name, bad in (("word", "1,x"), ("short", "1"), ("long", "1,2,3")):
+        path = write(tmp_path, name, f"a,b\n{bad}\n")
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            csv.read_edges(spark, path).collect()

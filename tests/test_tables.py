@@ -1,0 +1,148 @@
+"""Written graphs, keyed writes, result tables."""
+
+from __future__ import annotations
+
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from weftgraph.operators import degree, edges, results
+from weftgraph.plans import metrics
+from weftgraph.sources import tables
+
+
+@pytest.fixture(scope="module")
+def written(spark, micro, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("graph") / "g")
+    counts = tables.write_graph(micro.vertices, micro.edges, path)
+    return path, {r.table: r.n_rows for r in counts.collect()}
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_write_graph_counts_stored_rows(written):
+    assert written[1] == {"vertices": 5, "edges": 8, "vertices_by_attr": 5}
+
+
+def test_read_graph_round_trip(spark, micro, written):
+    graph = tables.read_graph(spark, written[0])
+    assert {tuple(r) for r in graph.vertices.collect()} == {tuple(r) for r in micro.vertices.collect()}
+    got = {tuple(r) for r in graph.edges.select("src", "dst").collect()}
+    assert got == {tuple(r) for r in micro.edges.collect()}
+    folders = graph.edges.select("src", "src_bucket").distinct()
+    assert folders.count() == folders.select("src").distinct().count()
+
+
+def test_lookups_read_one_partition(spark, written):
+    graph = tables.read_graph(spark, written[0])
+    near = edges.neighbors(graph.edges, 3, tables.in_bucket(3))
+    assert [r.dst for r in near.collect()] == [1, 2, 4]
+    local = degree.degree_local(graph.edges, 3, tables.in_bucket(3))
+    assert local.collect()[0].degree == 3
+    for df in (near, local):
+        assert "PartitionFilters: [isnotnull(src_bucket" in plan_of(df)
+        assert "EqualTo(src,3)" in plan_of(df)
+    by_attr = tables.read_by_attr(spark, written[0]).where("language = 'DE'")
+    assert sorted(r.id for r in by_attr.collect()) == [3, 4]
+    assert "PartitionFilters: [isnotnull(language" in plan_of(by_attr)
+
+
+def test_insert_if_absent(spark, tmp_path):
+    stored = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    batch = spark.createDataFrame([(2, "x"), (3, "d"), (3, "c"), (4, "e")], "id bigint, v string")
+    new = tables.insert_if_absent(stored, batch, ["id"], order="v")
+    assert sorted(tuple(r) for r in new.collect()) == [(3, "c"), (4, "e")]
+    assert tables.insert_if_absent(stored, batch, ["id"]).count() == 2
+    path = str(tmp_path / "t")
+    stored.write.parquet(path)
+    tables.append_absent(spark, batch, path, ["id"])
+    tables.append_absent(spark, batch, path, ["id"])
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4]
+
+
+def test_upsert_latest(spark):
+    log = spark.createDataFrame(
+        [(1, 10, 1, "a"), (1, 20, 2, "b"), (1, 20, 3, "c"), (2, 5, 1, None)],
+        "id int, ts int, seq int, value string",
+    )
+    latest = tables.upsert_latest(log, ["id"], "ts", "seq")
+    assert sorted((r.id, r.value) for r in latest.collect()) == [(1, "c"), (2, None)]
+    again = tables.upsert_latest(log.select("id", "ts", "value"), ["id"], "ts")
+    assert {r.id: r.ts for r in again.collect()} == {1: 20, 2: 5}
+    assert dict(tables.stamped(log).dtypes)["written_at"] == "timestamp"
+
+
+def test_duplicate_keys(spark):
+    rows = spark.createDataFrame([(1,), (1,), (2,)], "id bigint")
+    assert [tuple(r) for r in tables.duplicate_keys(rows, ["id"]).collect()] == [(1, 2)]
+
+
+def test_results_round_trip(spark, micro, tmp_path):
+    found = metrics.run_metrics(micro, sources=5, iterations=2)
+    path = str(tmp_path / "results")
+    tables.write_results(found, path)
+    back = tables.read_results(spark, path, metrics.RESULT_SCHEMA)
+    want = {(r.metric, r.field): r.value for r in found.collect()}
+    assert {(r.metric, r.field): r.value for r in back.collect()} == want
+    assert want[("clustering", "transitivity")] == 0.6
+    assert want[("betweenness", "3")] == 4.0
+    assert want[("degree", "max_degree")] == 3.0
+    assert {m for m, _ in want} == {
+        "degree", "clustering", "local_clustering", "betweenness", "pagerank", "assortativity",
+    }
+
+
+def test_timing_tables(spark):
+    seconds = metrics.timed(lambda: None, runs=3)
+    assert len(seconds) == 3
+    old = metrics.timing_log(spark, "one", {"degree": [1.0, 3.0], "bfs": [5.0]}).unionByName(
+        metrics.timing_log(spark, "two", {"degree": [8.0]})
+    )
+    new = metrics.timing_log(spark, "two", {"degree": [2.0, 4.0, 9.0]})
+    merged = results.merge_results(old, new, ["system"])
+    table = results.timing_pivot(merged, ["one", "two"])
+    assert {tuple(r) for r in table.collect()} == {("degree", 2.0, 4.0), ("bfs", 5.0, None)}
+    assert metrics.median_seconds({"degree": [1.0, 3.0, 8.0]}) == {"degree": 3.0}
+
+
+@pytest.mark.parametrize("group_limit", [1_000_000, 10])
+def test_grouped_median(spark, group_limit):
+    """One group holds most rows, one only repeats, one is a single row, one has no key."""
+    rng = random.Random(7)
+    groups = {
+        "hot": [rng.gauss(0, 1) for _ in range(5001)],
+        "ties": [1.0] * 700 + [2.0] * 700,
+        "even": [float(rng.randrange(50)) for _ in range(300)],
+        "one": [3.5],
+        None: [4.0, 6.0],
+    }
+    rows = [(k, v) for k, values in groups.items() for v in values] + [("hot", None)]
+    frame = spark.createDataFrame(rows, "k string, v double")
+    got = results.grouped_median(frame, ["k"], "v", group_limit).collect()
+    assert {r.k: r.n for r in got} == {k: len(v) for k, v in groups.items()}
+    want = {k: round(statistics.median(v), 6) for k, v in groups.items()}
+    assert {r.k: r.median for r in got} == pytest.approx(want, abs=1e-6)
+
+
+def test_ledger_and_diff(spark):
+    balances = spark.createDataFrame([(1, 1000), (2, 1010), (3, 990)], "id bigint, balance bigint")
+    deltas = spark.createDataFrame([(1, 10), (1, -10), (2, 20)], "id bigint, delta bigint")
+    got = results.ledger_reconcile(balances, deltas).collect()
+    assert {(r.id, r.expected_balance, r.consistent) for r in got} == {
+        (1, 1000, True), (2, 1020, False), (3, 1000, False),
+    }
+    a = spark.createDataFrame([("x", 1.0), ("y", 2.0)], "metric string, value double")
+    b = spark.createDataFrame([("x", 1.0000001), ("z", 2.0)], "metric string, value double")
+    same = {r.metric: r.same for r in results.metric_diff(a, b).collect()}
+    assert same == {"x": True, "y": False, "z": False}
+
+
+def test_edges_per_bucket_covers_all_edges(micro):
+    per = tables.edges_per_bucket(micro.edges, 4).collect()
+    assert sum(r.n_edges for r in per) == 8
+    assert all(0 <= r.src_bucket < 4 for r in per)
+    assert micro.edges.select(F.max(tables.modulo_shard(F.col("src"), 8))).first()[0] == 4

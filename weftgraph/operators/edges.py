@@ -31,9 +31,8 @@ def undirected(edges: DataFrame) -> DataFrame:
 
 def endpoint_check(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """Edges with the flags ``src_missing`` and ``dst_missing``."""
-    known = vertices.select("id").distinct()
-    source = known.select(F.col("id").alias("src"), F.lit(True).alias("src_known"))
-    target = known.select(F.col("id").alias("dst"), F.lit(True).alias("dst_known"))
+    source = vertices.select(F.col("id").alias("src"), F.lit(True).alias("src_known"))
+    target = vertices.select(F.col("id").alias("dst"), F.lit(True).alias("dst_known"))
     return (
         edges.join(source, "src", "left")
         .join(target, "dst", "left")

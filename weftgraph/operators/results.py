@@ -21,7 +21,9 @@ def grouped_median(
     group in one task, so it serves only while every group is small; otherwise
     the values are sorted across the cluster.
     """
-    data = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("x"))
+    data = df.where(F.col(value).isNotNull()).select(
+        *keys, F.col(value).cast("double").alias("x")
+    )
     size = F.count(F.lit(1)).alias("n")
     sizes = data.groupBy(*keys).agg(size).agg(F.max("n").alias("largest"), F.sum("n").alias("rows"))
     seen = sizes.first()
@@ -56,10 +58,12 @@ def _sorted_median(data: DataFrame, keys: list[str], rows: int) -> DataFrame:
     )
     lower, upper = F.expr("(n - 1) div 2"), F.expr("n div 2")
     here = (F.col("before") <= upper) & (lower < F.col("before") + F.col("c"))
-    wanted = totals.where(here).select(*[F.col(k).alias(f"w_{k}") for k in keys], "part", "n", "before")
-    match = [F.col(k).eqNullSafe(F.col(f"w_{k}")) for k in keys]
-    match.append(ordered["part"] == wanted["part"])
-    inside = ordered.join(wanted, match).select(*keys, ordered["part"], "x", "c", "n", "before")
+    places = [*keys, "part"]
+    wanted = totals.where(here).select(
+        *[F.col(name).alias(f"wanted_{name}") for name in places], "n", "before"
+    )
+    match = [F.col(name).eqNullSafe(F.col(f"wanted_{name}")) for name in places]
+    inside = ordered.join(wanted, match).select(*places, "x", "c", "n", "before")
     running = Window.partitionBy(*keys, "part").orderBy("x")
     last = F.col("before") + F.sum("c").over(running)
     ranked = inside.withColumn("last", last).withColumn("first", F.col("last") - F.col("c"))
@@ -73,7 +77,11 @@ def _sorted_median(data: DataFrame, keys: list[str], rows: int) -> DataFrame:
 
 
 def timing_pivot(
-    log: DataFrame, systems: list, metric: str = "metric", system: str = "system", value: str = "sec"
+    log: DataFrame,
+    systems: list,
+    metric: str = "metric",
+    system: str = "system",
+    value: str = "sec",
 ) -> DataFrame:
     """One row per metric with the median value of each system as a column."""
     medians = grouped_median(log, [metric, system], value)
