@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftgraph.functions import to_attribute, to_flag, to_integer
-from weftgraph.sources import csv
+from weftgraph.operators.sample import induced_subgraph
+from weftgraph.plans.metrics import run_metrics
+from weftgraph.sources import csv, read_csv_graph, read_graph, write_graph
 
 
 def applied(spark, rule, *texts):
@@ -76,3 +78,22 @@ def test_read_edges(spark, tmp_path):
         path = write(tmp_path, name, f"a,b\n{bad}\n")
         with pytest.raises(Exception, match="MALFORMED_RECORD"):
             csv.read_edges(spark, path).collect()
+
+
+def test_files_to_metrics(spark, tmp_path):
+    """The whole way: files, sample, written graph, metrics."""
+    people = "".join(f"{i},0,1,,,{i},0,{'EN' if i < 3 else 'DE'},0\n" for i in range(1, 7))
+    vertices = write(tmp_path, "v", f"{HEADER}\n{people}")
+    links = write(tmp_path, "e", "a,b\n1,2\n1,3\n3,2\n3,4\n2,1\n5,6\n4,6\n")
+    graph = read_csv_graph(spark, vertices, links)
+    part = induced_subgraph(graph, 5)
+    path = str(tmp_path / "g")
+    counts = {r.table: r.n_rows for r in write_graph(part.vertices, part.edges, path).collect()}
+    assert counts == {"vertices": 5, "edges": 8, "vertices_by_attr": 5}
+    stored = read_graph(spark, path)
+    found = run_metrics(stored, sources=5, iterations=10).collect()
+    values = {(r.metric, r.field): r.value for r in found}
+    assert values["clustering", "triangles"] == 1.0
+    assert values["assortativity", "edges"] == 8.0
+    assert values["betweenness", "3"] == 4.0
+    assert values["degree", "n_vertices"] == 4.0

@@ -1,4 +1,4 @@
-from weftgraph.sources.csv import read_edges, read_vertices
+from weftgraph.sources.csv import read_csv_graph, read_edges, read_vertices
 from weftgraph.sources.tables import read_graph, write_graph
 
-__all__ = ["read_edges", "read_graph", "read_vertices", "write_graph"]
+__all__ = ["read_csv_graph", "read_edges", "read_graph", "read_vertices", "write_graph"]

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.functions.normalize import to_attribute, to_flag, to_integer, to_key
+from weftgraph.graph import Graph
+from weftgraph.operators.edges import symmetrize
 
 # The columns of a raw vertex file that become attributes. All
 # others, such as creation and update dates, are dropped.
@@ -48,3 +50,8 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
         ignoreLeadingWhiteSpace=True,
         ignoreTrailingWhiteSpace=True,
     )
+
+
+def read_csv_graph(spark: SparkSession, vertex_path: str, edge_path: str) -> Graph:
+    """The graph of a raw vertex file and a raw edge file."""
+    return Graph(read_vertices(spark, vertex_path), symmetrize(read_edges(spark, edge_path)))
