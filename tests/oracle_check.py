@@ -52,6 +52,7 @@ def compare(spark, con, name: str, sf_dir: str) -> dict:
         "columns": (sorted(columns), sorted(want_columns)),
         "types": (got.dtypes, [(d[0], str(d[1])) for d in cursor.description]),
         "differ": [pair for pair in zip(mine, want) if pair[0] != pair[1]][:3],
+        "plan": got._jdf.queryExecution().executedPlan().toString(),
         "spark_sec": round(spark_sec, 2),
         "sql_sec": round(time.time() - start, 2),
     }
@@ -72,6 +73,7 @@ def main() -> None:
         print(name, "ok" if result["same"] else "FAILED", result.get("rows"), result.get("spark_sec"), result.get("sql_sec"), flush=True)
         if not result["same"]:
             failed.append(name)
+            result.pop("plan", None)
             print(result, flush=True)
     print(f"{len(failed)} failed: {failed}")
 

@@ -5,13 +5,11 @@ from __future__ import annotations
 import pathlib
 
 import pytest
-from conftest import SMALL
 from pyspark.sql import functions as F
 
 from weftgraph.operators import clustering, mixing, pagerank, paths, results
 from weftgraph.operators.edges import adjacency_list, edges_orphan, edges_valid, symmetrize
 from weftgraph.operators.layout import HOT_SHARE, EdgeLayout
-from weftgraph.plans.queries import QUERIES
 from weftgraph.session import checkpoint_dir
 
 LEAVES = 10_000
@@ -143,13 +141,6 @@ def test_walks_neither_shuffle_edges_nor_broadcast_rows(spark):
         layout.release()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_query_pairs_rows_without_a_key(spark, name):
-    plan = plan_of(QUERIES[name](spark, SMALL))
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
-
-
 def test_sources_keep_to_distributed_calls():
     package = pathlib.Path(__file__).parent.parent / "weftgraph"
     for path in package.rglob("*.py"):
