@@ -74,14 +74,15 @@ def degree_histogram(edges: DataFrame) -> DataFrame:
 def graph_counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Vertices, undirected edges and the mean degree 2E/V, from one pass over each."""
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    once = F.when(F.col("src") <= F.col("dst"), one).otherwise(none)
     tally = vertices.select(one.alias("v"), none.alias("e")).unionAll(
-        edges.select(none.alias("v"), one.alias("e"))
+        edges.select(none.alias("v"), once.alias("e"))
     )
     sums = tally.agg(
         F.coalesce(F.sum("v"), none).alias("v"), F.coalesce(F.sum("e"), none).alias("e")
     )
     return sums.select(
         F.col("v").alias("n_vertices"),
-        F.expr("e div 2").alias("n_edges"),
-        rounded(F.col("e") / F.nullif(F.col("v"), F.lit(0))).alias("mean_degree"),
+        F.col("e").alias("n_edges"),
+        rounded(2 * F.col("e") / F.nullif(F.col("v"), F.lit(0))).alias("mean_degree"),
     )
