@@ -127,18 +127,18 @@ def test_closing_join_of_triangles_is_split(spark, settings):
 
 
 def test_walks_neither_shuffle_edges_nor_broadcast_rows(spark):
-    ids = spark.range(100)
-    ring = ids.select(F.col("id").alias("a"), ((F.col("id") + 1) % 100).alias("b"))
-    layout = EdgeLayout.build(symmetrize(ring))
-    try:
-        assert layout.hot is None
+    n = 10_000
+    ids = spark.range(n)
+    ring = ids.select(F.col("id").alias("a"), ((F.col("id") + 1) % n).alias("b"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with EdgeLayout.build(symmetrize(ring)).walking() as layout:
+        assert layout.hot is None and layout.partitions == spark.sparkContext.defaultParallelism
         rows = ids.select(F.col("id").alias("node"), F.lit(1.0).alias("share"))
         plan = plan_of(layout.step(rows, "node"))
-        assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1
-        own = plan[: plan.index("InMemoryRelation")]
-        assert own.count("Exchange") == 1 and own.count("Sort [") == 1
-    finally:
-        layout.release()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1
+    own = plan[: plan.index("InMemoryRelation")]
+    assert own.count("Exchange") == 1 and own.count("Sort [") == 1
 
 
 def test_sources_keep_to_distributed_calls():

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +65,23 @@ def materialize(df: DataFrame, *measures) -> tuple[DataFrame, dict]:
     return out, seen.get
 
 
-def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int = 4_000_000) -> int:
-    """Partition count that keeps partitions of ``rows`` narrow rows spill-free."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, -(-rows // rows_per_partition))
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partition count for ``rows`` narrow rows: spill-free, and one per core if worth it."""
+    most, least = 4_000_000, 1_000
+    cores = min(spark.sparkContext.defaultParallelism, -(-rows // least))
+    return max(1, cores, -(-rows // most))
+
+
+@contextmanager
+def shuffling_into(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Plans shuffles of a loop into as many partitions as the data it is joined to has.
+
+    With another number, Spark would shuffle that data again at every step.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
