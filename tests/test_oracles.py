@@ -6,7 +6,9 @@ import pytest
 from conftest import SMALL
 from oracle_check import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from weftgraph.plans.oracles import ORACLES
+from weftgraph.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,10 +17,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, con, name):
     result = compare(spark, con, name, SMALL)
     plan = result.pop("plan")
