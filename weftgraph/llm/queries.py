@@ -5,8 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import quality_rules
-from weftgraph.llm.common import table
+from weftgraph.llm import license_scan, mixing, packing, quality_rules, sharding
+from weftgraph.llm.common import stored, table
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    """The tokenizer file of the registered queries, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 16).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    parts = stored(packing.pieces(docs, tokenizer_path()), "pieces").withColumnRenamed("id", "doc_id")
+    return packing.pack(parts).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
 
 
 def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +64,10 @@ def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": licenses,
+    "op5_minimax_shards": shards,
+    "op6_source_mix": source_mix,
+    "op8_packed_sequences": sequences,
     "op10_rule_ledger": rule_ledger,
 }
 
