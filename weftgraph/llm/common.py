@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from weftgraph.session import partitions_for, scratch_path
 
@@ -36,19 +38,16 @@ def utf8(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
-def ascii_lower(text: bytes) -> bytes:
-    """Lower-cases A-Z and nothing else."""
-    return text.lower()
-
-
-def map_rows(df: DataFrame, function: Callable[[dict], list[tuple]], schema: str) -> DataFrame:
+def map_rows(
+    df: DataFrame, function: Callable[[dict], list[tuple]], schema: str | StructType
+) -> DataFrame:
     """Rows that ``function`` makes of each batch of columns, given as name to list.
 
     Output goes back in batches of bounded size, so a batch that makes many rows
     is never held as a whole in Arrow form.
     """
-    struct = _struct(df.sparkSession, schema)
-    kinds = pa.schema([pa.field(f.name, _arrow(f.dataType)) for f in struct.fields])
+    struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kinds = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in struct.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,18 +64,6 @@ def map_rows(df: DataFrame, function: Callable[[dict], list[tuple]], schema: str
     return df.mapInArrow(run, struct)
 
 
-def _struct(spark: SparkSession, schema: str):
-    from pyspark.sql.types import StructType
-
-    return StructType.fromDDL(schema)
-
-
-def _arrow(kind):
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
-
-
 def sized(df: DataFrame) -> int:
     """Partitions for the rows of a stored frame; the count comes from file footers."""
     return partitions_for(df.sparkSession, df.count())

@@ -7,6 +7,8 @@ compared without reading a text again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,8 +89,13 @@ def _measure(text: bytes) -> tuple:
     )
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row ``(id, measures, fail_bits)`` per document.
+def ledger(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    extra: dict[str, Callable[[bytes], int]] | None = None,
+) -> DataFrame:
+    """One row ``(id, measures, fail_bits)`` per document; ``extra`` adds measures of its own.
 
     A null or blank text has no words and fails ``few_words``. Repeated rows and
     null ids are rows like any other; further columns of ``docs`` are not read.
@@ -96,12 +103,17 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     has a word.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
+    more = extra or {}
+    schema = ", ".join([f"id {id_type}", MEASURES, *[f"{name} long" for name in more]])
 
     def measured(batch: dict) -> list[tuple]:
-        return [(i, *_measure(t)) for i, t in zip(batch["id"], batch["text"])]
+        return [
+            (i, *_measure(t), *[f(t) for f in more.values()])
+            for i, t in zip(batch["id"], batch["text"])
+        ]
 
     rows = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("text"))
-    out = map_rows(rows, measured, f"id {id_type}, {MEASURES}")
+    out = map_rows(rows, measured, schema)
     bits = [
         F.when(F.expr(condition), F.lit(1 << bit)).otherwise(F.lit(0)).cast("long")
         for bit, condition in enumerate(RULES.values())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import license_scan, mixing, packing, quality_rules, sharding
+from weftgraph.llm import license_scan, mixing, packing, quality_model, quality_rules, sharding
 from weftgraph.llm.common import stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -48,6 +48,12 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_model.fit(docs, labels)
+    return quality_model.classify(docs.select("doc_id", "text"), model).drop("text")
+
+
 def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
     return quality_rules.apply_policy(rows, "standard-2").select(
@@ -68,6 +74,7 @@ QUERIES = {
     "op5_minimax_shards": shards,
     "op6_source_mix": source_mix,
     "op8_packed_sequences": sequences,
+    "op9_quality_classifier": quality,
     "op10_rule_ledger": rule_ledger,
 }
 
