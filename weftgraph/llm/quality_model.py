@@ -51,7 +51,6 @@ LABELLERS = {
     "toxic": {
         "human": _vote("toxic = 1", "toxic = 0"),
         "insult": _vote("n_insults >= 1"),
-        "insults": _vote("n_insults >= 3"),
     },
 }
 
@@ -74,8 +73,8 @@ def estimate(
     votes = np.array([p for p, _ in patterns], int)
     counts = np.array([n for _, n in patterns], float)
     onehot = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)
-    first = np.array([trusted.get(j, 0.8) for j in range(votes.shape[1])])
-    good = 1 / (1 + np.exp(-(votes @ np.log(first / (1 - first)) + 1)))
+    first = np.array([trusted.get(j, 0.9) for j in range(votes.shape[1])])
+    good = 1 / (1 + np.exp(-(votes @ np.log(first / (1 - first)) + 3)))
     for _ in range(steps):
         both = np.stack([counts * (1 - good), counts * good])
         p = np.einsum("cn,nlv->clv", both, onehot) + 0.5
