@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import license_scan, mixing, packing, quality_model, quality_rules, sharding
+from weftgraph.llm import license_scan, mixing, near_dedup, packing, quality_model, quality_rules, sharding
 from weftgraph.llm.common import stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -40,6 +40,11 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_dedup.near_duplicates(docs, width=3, percent=85)
+
+
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     parts = stored(packing.pieces(docs, tokenizer_path()), "pieces").withColumnRenamed("id", "doc_id")
@@ -73,6 +78,7 @@ QUERIES = {
     "op1_license_scan": licenses,
     "op5_minimax_shards": shards,
     "op6_source_mix": source_mix,
+    "op7_near_duplicates": near_duplicates,
     "op8_packed_sequences": sequences,
     "op9_quality_classifier": quality,
     "op10_rule_ledger": rule_ledger,
