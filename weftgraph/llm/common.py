@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -64,6 +65,29 @@ def map_rows(
     return df.mapInArrow(run, struct)
 
 
+_MIX = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)]
+_REMEMBERED: dict[bytes, int] = {}
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit over all others."""
+    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hash(word: bytes) -> int:
+    """A 64-bit hash; a worker remembers those of many words."""
+    at = _REMEMBERED.get(word)
+    if at is None:
+        import xxhash
+
+        at = xxhash.xxh64_intdigest(word)
+        if len(_REMEMBERED) < 500_000:
+            _REMEMBERED[word] = at
+    return at
+
+
 def sized(df: DataFrame) -> int:
     """Partitions for the rows of a stored frame; the count comes from file footers."""
     return partitions_for(df.sparkSession, df.count())

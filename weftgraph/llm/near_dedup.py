@@ -22,34 +22,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import map_rows, stored, utf8
+from weftgraph.llm.common import map_rows, mixed, stored, utf8, word_hash
 from weftgraph.llm.components import components
 
 SKETCH = 48
 MISS = 1e-10  # accepted chance that a pair at the threshold shares too few values
 
-_MIX = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)]
-_REMEMBERED: dict[bytes, int] = {}
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit over all others."""
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
-def _word_hash(word: bytes) -> int:
-    at = _REMEMBERED.get(word)
-    if at is None:
-        import xxhash
-
-        at = xxhash.xxh64_intdigest(word)
-        if len(_REMEMBERED) < 500_000:
-            _REMEMBERED[word] = at
-    return at
-
-
 def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
@@ -66,13 +44,13 @@ def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
     if not words:
         return np.empty(0, np.int64)
     used = min(width, len(words))
-    factors = _mixed(np.arange(1, used + 1, dtype=np.uint64) + np.uint64(used << 32)) | np.uint64(1)
-    hashes = np.fromiter(map(_word_hash, words), np.uint64, len(words))
+    factors = mixed(np.arange(1, used + 1, dtype=np.uint64) + np.uint64(used << 32)) | np.uint64(1)
+    hashes = np.fromiter(map(word_hash, words), np.uint64, len(words))
     size = len(words) - used + 1
     total = np.zeros(size, np.uint64)
     for i in range(used):
         total += hashes[i : i + size] * factors[i]
-    return np.unique((_mixed(total) >> np.uint64(1)).astype(np.int64))
+    return np.unique((mixed(total) >> np.uint64(1)).astype(np.int64))
 
 
 def least_shared(percent: int, k: int = SKETCH, miss: float = MISS) -> int:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.llm import license_scan, mixing, near_dedup, packing, quality_model, quality_rules, sharding
+from weftgraph.llm import substring_dedup
 from weftgraph.llm.common import stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -40,6 +41,11 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs)
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return near_dedup.near_duplicates(docs, width=3, percent=85)
@@ -76,6 +82,7 @@ def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": licenses,
+    "op2_repeated_passages": passages,
     "op5_minimax_shards": shards,
     "op6_source_mix": source_mix,
     "op7_near_duplicates": near_duplicates,
