@@ -1,12 +1,75 @@
-"""Corpus preparation: five stages from raw documents to packed sequences."""
+"""Corpus preparation: five stages from raw documents to packed sequences.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept.
+All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from weftgraph.llm import mixing, near_dedup, packing, quality_model, substring_dedup
+from weftgraph.llm.common import WORD, stored, table
+from weftgraph.llm.queries import tokenizer_path
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; it learns from ``labels`` and ``docs``."""
+    model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_model.classify(docs, model).where("kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the lowest id of each group; rows that share an id go together."""
+    found = near_dedup.near_duplicates(docs, width=5, percent=80)
+    gone = stored(found.where("not kept").select("doc_id").distinct(), "near-duplicates")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated passages; those of which nothing is left go."""
+    cut = substring_dedup.remove_repeats(docs)
+    left = (F.col("removed_words") == 0) | F.col("text").rlike(WORD)
+    columns = [
+        F.when(F.col("removed_words") > 0, F.length("text")).otherwise(F.col(c)).cast(kind).alias(c)
+        if c == "n_chars"
+        else F.col(c)
+        for c, kind in docs.dtypes
+    ]
+    return cut.where(left).select(*columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in the weights 3, 1, 2 by code point, up to two copies of a document."""
+    plan = stored(mixing.mix_sources(docs), "mix-plan")
+    return mixing.mixed_documents(docs, plan)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of each piece of each document in sequences of 2,048 tokens."""
+    parts = stored(packing.pieces(docs, tokenizer_path()), "pieces")
+    return packing.pack(parts).select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("near duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("source mix", mix),
+    ("packing", pack),
+]
 
-STAGES: list = []
+# Trained scorers, sketches and tokenizers are beyond SQL; tests/llm holds brute-force checks.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if number + 1 < len(STAGES):
+            docs = stored(docs, f"stage-{number}")
+    return docs

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from weftgraph.llm.common import WORD, running_before, sized, stored
 
 
+SEED = 17
+
+
+def shuffle_key(seed: int, id_col: str, text_col: str) -> Column:
+    """The place of a document in its shuffled source."""
+    return F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
+
+
 def word_count(text_col: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -64,7 +72,7 @@ def mix_sources(
     weights: tuple[int, ...] = (3, 1, 2),
     share: float = 1.5,
     epochs: int = 2,
-    seed: int = 17,
+    seed: int = SEED,
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
@@ -87,7 +95,7 @@ def mix_sources(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             word_count(text_col).alias("size"),
-            F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("shuffle"),
+            shuffle_key(seed, id_col, text_col).alias("shuffle"),
         ),
         "mix-rows",
     )
@@ -137,5 +145,32 @@ def mix_sources(
         .withColumn("copies", F.size("finishes"))
         .withColumn("taken", F.col("size") * F.col("copies"))
         .withColumnRenamed("id", id_col)
-        .select(id_col, "size", "source_size", "target", "taken", "copies", "finishes")
+        .select(id_col, "size", "source_size", "target", "taken", "copies", "finishes", "shuffle")
+    )
+
+
+def mixed_documents(
+    docs: DataFrame, plan: DataFrame, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, each as often as ``plan`` from ``mix_sources`` takes it.
+
+    Rows equal in id and text are told apart by number, so each gets its own copies.
+    """
+    nth = F.row_number().over(Window.partitionBy("_id", "_shuffle").orderBy("_shuffle"))
+    taken = (
+        plan.select(F.col(id_col).alias("_id"), F.col("shuffle").alias("_shuffle"), "copies")
+        .withColumn("_nth", nth)
+        .where("copies > 0")
+        .select(F.col("_id").alias("i"), F.col("_shuffle").alias("s"), F.col("_nth").alias("n"), F.col("copies").alias("_copies"))
+    )
+    rows = (
+        docs.withColumn("_id", F.col(id_col))
+        .withColumn("_shuffle", shuffle_key(seed, id_col, text_col))
+        .withColumn("_nth", nth)
+    )
+    same = F.col("_id").eqNullSafe(F.col("i")) & (F.col("_shuffle") == F.col("s")) & (F.col("_nth") == F.col("n"))
+    return (
+        rows.join(taken, same)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        .select(*[docs[c] for c in docs.columns])
     )

@@ -231,3 +231,20 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> Data
         (F.col("offset") + F.coalesce("base", F.lit(0))).alias("offset"),
     )
     return parts.join(placed, ["row", "piece"])
+
+
+def filled(parts: DataFrame, placed: DataFrame) -> DataFrame:
+    """``(sequence_id, n_tokens, ids)``: the token ids of each sequence, from ``pieces`` with ids."""
+    with_ids = placed.join(parts.select("row", "piece", "ids"), ["row", "piece"])
+    in_order = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    return (
+        with_ids.groupBy("sequence_id")
+        .agg(F.sum("length").alias("n_tokens"), in_order.alias("parts"))
+        .select(
+            "sequence_id",
+            "n_tokens",
+            F.aggregate(
+                "parts", F.lit(b""), lambda whole, part: F.concat(whole, part["ids"])
+            ).alias("ids"),
+        )
+    )

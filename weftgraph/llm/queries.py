@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import license_scan, mixing, near_dedup, packing, quality_model, quality_rules, sharding
-from weftgraph.llm import substring_dedup
+from weftgraph.llm import (
+    chat_format,
+    license_scan,
+    mixing,
+    near_dedup,
+    packing,
+    quality_model,
+    quality_rules,
+    sharding,
+    substring_dedup,
+    vector_search,
+)
 from weftgraph.llm.common import stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -46,6 +56,17 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs)
 
 
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = vector_search.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return vector_search.top_k(vectors, F.col("id") % 50 == 0, 5).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score"
+    )
+
+
+def perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return near_dedup.near_duplicates(docs, width=3, percent=85)
@@ -83,6 +104,8 @@ def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scan": licenses,
     "op2_repeated_passages": passages,
+    "op3_nearest_vectors": nearest,
+    "op4_perspectives": perspectives,
     "op5_minimax_shards": shards,
     "op6_source_mix": source_mix,
     "op7_near_duplicates": near_duplicates,
