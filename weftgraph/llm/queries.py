@@ -64,7 +64,10 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat_format.perspectives(table(spark, sf_dir, "conversations"))
+    span = "concat(s.start, ':', s.length)"
+    return chat_format.perspectives(table(spark, sf_dir, "conversations")).withColumn(
+        "mask", F.expr(f"array_join(transform(mask, s -> {span}), ',')")
+    )
 
 
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,5 +116,3 @@ QUERIES = {
     "op9_quality_classifier": quality,
     "op10_rule_ledger": rule_ledger,
 }
-
-ORACLES: dict[str, str] = {}
