@@ -39,6 +39,18 @@ def utf8(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made unlike any column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def map_rows(
     df: DataFrame, function: Callable[[dict], list[tuple]], schema: str | StructType
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import WORD, running_before, sized, stored
+from weftgraph.llm.common import WORD, fresh, running_before, stored
 
 
 SEED = 17
@@ -156,21 +156,27 @@ def mixed_documents(
 
     Rows equal in id and text are told apart by number, so each gets its own copies.
     """
-    nth = F.row_number().over(Window.partitionBy("_id", "_shuffle").orderBy("_shuffle"))
+    key, place, number, wanted = fresh(docs, "mix_id", "mix_place", "mix_number", "mix_copies")
+    nth = F.row_number().over(Window.partitionBy(key, place).orderBy(place))
     taken = (
-        plan.select(F.col(id_col).alias("_id"), F.col("shuffle").alias("_shuffle"), "copies")
-        .withColumn("_nth", nth)
-        .where("copies > 0")
-        .select(F.col("_id").alias("i"), F.col("_shuffle").alias("s"), F.col("_nth").alias("n"), F.col("copies").alias("_copies"))
+        plan.select(F.col(id_col).alias(key), F.col("shuffle").alias(place), F.col("copies").alias(wanted))
+        .withColumn(number, nth)
+        .where(F.col(wanted) > 0)
     )
     rows = (
-        docs.withColumn("_id", F.col(id_col))
-        .withColumn("_shuffle", shuffle_key(seed, id_col, text_col))
-        .withColumn("_nth", nth)
+        docs.withColumn(key, F.col(id_col))
+        .withColumn(place, shuffle_key(seed, id_col, text_col))
+        .withColumn(number, nth)
     )
-    same = F.col("_id").eqNullSafe(F.col("i")) & (F.col("_shuffle") == F.col("s")) & (F.col("_nth") == F.col("n"))
+    mine, theirs = rows.alias("mine"), taken.alias("theirs")
+    same = [
+        F.col(f"mine.{c}").eqNullSafe(F.col(f"theirs.{c}")) for c in (key, place, number)
+    ]
     return (
-        rows.join(taken, same)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*[docs[c] for c in docs.columns])
+        mine.join(theirs, same)
+        .select(
+            *[F.col(f"mine.`{c}`").alias(c) for c in docs.columns],
+            F.explode(F.sequence(F.lit(1), F.col(f"theirs.{wanted}"))).alias(wanted),
+        )
+        .drop(wanted)
     )

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from weftgraph.llm.common import map_rows, stored, utf8
+from weftgraph.llm.common import fresh, map_rows, stored, utf8
 from weftgraph.llm.quality_rules import ledger
 
 DIMENSIONS = 1 << 18
@@ -318,10 +318,11 @@ def classify(
     scorers = model.scorers
     out = docs.drop("p_quality", "p_clean", "kept")
     names = out.columns
+    (content,) = fresh(out, "content")
 
     def judged(batch: dict) -> list[tuple]:
         rows = []
-        for k, text in enumerate(batch["_text"]):
+        for k, text in enumerate(batch[content]):
             at = features(text)
             good, clean = scorers["quality"].score(at), scorers["toxic"].score(at)
             rows.append(
@@ -330,4 +331,4 @@ def classify(
         return rows
 
     schema = StructType(out.schema.fields + _JUDGED)
-    return map_rows(out.withColumn("_text", utf8(text_col)), judged, schema)
+    return map_rows(out.withColumn(content, utf8(text_col)), judged, schema)

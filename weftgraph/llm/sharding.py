@@ -189,7 +189,7 @@ def write_shards(docs: DataFrame, path: str, shards: int = 16, key: str = "doc_i
     Needs a unique, non-null ``key``.
     """
     places = shard_documents(docs, shards, key).select(key, "shard", "slot")
-    joined = docs.join(places, key)
+    joined = docs.drop("shard", "slot").join(places, key)
     joined.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy(
         "shard"
     ).parquet(path)

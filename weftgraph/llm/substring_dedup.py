@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from weftgraph.llm.common import map_rows, mixed, stored, utf8, word_hash
+from weftgraph.llm.common import fresh, map_rows, mixed, stored, utf8, word_hash
 
 WINDOW = 12  # a border falls in any so many neighbouring words
 MIN_WORDS = 20  # shorter runs of repeated units stay
@@ -108,21 +108,24 @@ def remove_repeats(
     A null text stays null, an empty one empty; both have nothing removed. Null ids rank
     last and do not remove from each other; rows that share an id do not either.
     """
-    spread = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
+    out = docs.drop("removed", "removed_words", "repeats_of")
+    names = out.columns
+    row_key, content, places, sources = fresh(out, "row_key", "content", "places", "sources")
+    spread = out.withColumn(row_key, F.xxhash64(F.col(id_col), F.col(text_col)))
     id_type = docs.schema[id_col].dataType
 
     def cut_up(batch: dict) -> list[tuple]:
         rows = []
         for i, row, text in zip(batch["id"], batch["row"], batch["text"]):
             first, _, digests = units(text.lower().split(), window)
-            _, places = np.unique(digests, return_index=True)
-            rows.append((i, row, first[places].tolist(), digests[places].tolist()))
+            _, once = np.unique(digests, return_index=True)
+            rows.append((i, row, first[once].tolist(), digests[once].tolist()))
         return rows
 
     pieces = stored(
         map_rows(
             spread.select(
-                F.col(id_col).alias("id"), F.col("_row").alias("row"), utf8(text_col).alias("text")
+                F.col(id_col).alias("id"), F.col(row_key).alias("row"), utf8(text_col).alias("text")
             ),
             cut_up,
             f"id {id_type.simpleString()}, row long, first array<int>, digest array<long>",
@@ -140,20 +143,18 @@ def remove_repeats(
     later = (
         each.join(earliest, "digest")
         .where("id is null or id > earliest")
-        .groupBy(F.col("row").alias("_row"))
+        .groupBy(F.col("row").alias(row_key))
         .agg(
-            F.collect_set("first").alias("_first"),
-            F.sort_array(F.collect_set("earliest")).alias("_earliest"),
+            F.collect_set("first").alias(places),
+            F.sort_array(F.collect_set("earliest")).alias(sources),
         )
     )
-    out = docs.drop("removed", "removed_words", "repeats_of")
-    names = out.columns
 
     def rebuilt(batch: dict) -> list[tuple]:
         rows = []
-        for k, text in enumerate(batch["_bytes"]):
+        for k, text in enumerate(batch[content]):
             row = {n: batch[n][k] for n in names}
-            found, sources = batch["_first"][k] or [], batch["_earliest"][k] or []
+            found, origins = batch[places][k] or [], batch[sources][k] or []
             removed, count = [], 0
             if row[text_col]:
                 first, end, digests = units(text.lower().split(), window)
@@ -165,15 +166,15 @@ def remove_repeats(
                     text, removed = _cut(text, runs)
                     row[text_col] = text.decode("utf-8", "replace")
                     count = sum(b - a for a, b in runs)
-            rows.append((*row.values(), removed, count, sources if removed else []))
+            rows.append((*row.values(), removed, count, origins if removed else []))
         return rows
 
     more = StructType.fromDDL(
         "removed array<struct<start: long, length: long>>, removed_words long"
     ).add("repeats_of", ArrayType(id_type))
-    joined = spread.drop("removed", "removed_words", "repeats_of").join(later, "_row", "left")
+    joined = spread.join(later, row_key, "left")
     return map_rows(
-        joined.select(*names, utf8(text_col).alias("_bytes"), "_first", "_earliest"),
+        joined.select(*names, utf8(text_col).alias(content), places, sources),
         rebuilt,
         StructType(out.schema.fields + more.fields),
     )

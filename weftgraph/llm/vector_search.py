@@ -174,7 +174,7 @@ def _exact(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFram
     )
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column | str, k: int = 5) -> DataFrame:
     """``(query_id, rank, id, score)``: the ``k`` highest inner products of each query.
 
     ``vectors`` is ``(id, v)`` as ``integer_vectors`` gives them; ``is_query`` is a condition
