@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -92,8 +93,6 @@ def word_hash(word: bytes) -> int:
     """A 64-bit hash; a worker remembers those of many words."""
     at = _REMEMBERED.get(word)
     if at is None:
-        import xxhash
-
         at = xxhash.xxh64_intdigest(word)
         if len(_REMEMBERED) < 500_000:
             _REMEMBERED[word] = at
