@@ -35,6 +35,7 @@ def test_attribute(spark):
     ]
 
 
+# The column names of a raw vertex file.
 HEADER = "views,mature,life_time,created_at,updated_at,numeric_id,dead_account,language,affiliate"
 
 
@@ -46,14 +47,14 @@ def write(tmp_path, name, text):
 
 
 def test_read_vertices(spark, tmp_path):
-    path = write(tmp_path, "v", f"{HEADER}\n7879,1,969,2016-02-16,2018-10-12,0,0,EN,1\n,,,x,y,5, TRUE ,,on\n")
+    path = write(tmp_path, "v", f"{HEADER}\n4321,1,86,2016-02-16,2018-10-12,0,0,EN,1\n,,,x,y,5, TRUE ,,on\n")
     frame = csv.read_vertices(spark, path)
     assert [f"{n} {t}" for n, t in frame.dtypes] == [
         "id bigint", "views bigint", "mature boolean", "life_time int",
         "dead_account boolean", "language string", "affiliate boolean",
     ]
     assert [tuple(r) for r in frame.orderBy("id").collect()] == [
-        (0, 7879, True, 969, False, "EN", True), (5, 0, False, 0, True, "UNK", False),
+        (0, 4321, True, 86, False, "EN", True), (5, 0, False, 0, True, "UNK", False),
     ]
 
 
@@ -71,9 +72,17 @@ def test_read_vertices_rejects_bad_numbers(spark, tmp_path, row):
         csv.read_vertices(spark, path).collect()
 
 
+def test_read_vertices_with_quotes(spark, tmp_path):
+    text = f'{HEADER}\n1,1,1,,,1,0,"say ""hi"", x",0\n'
+    assert csv.read_vertices(spark, write(tmp_path, "q", text)).first().language == 'say "hi", x'
+    text = f'{HEADER}\n1,1,1,,,1,0,"two\nlines",0\n'
+    frame = csv.read_vertices(spark, write(tmp_path, "m", text), multi_line=True)
+    assert [r.language for r in frame.collect()] == ["two\nlines"]
+
+
 def test_read_edges(spark, tmp_path):
-    path = write(tmp_path, "e", "numeric_id_1,numeric_id_2\n98343,141493\n 3 , 4\n")
-    assert sorted(tuple(r) for r in csv.read_edges(spark, path).collect()) == [(3, 4), (98343, 141493)]
+    path = write(tmp_path, "e", "numeric_id_1,numeric_id_2\n70001,90002\n 3 , 4\n")
+    assert sorted(tuple(r) for r in csv.read_edges(spark, path).collect()) == [(3, 4), (70001, 90002)]
     for name, bad in (("word", "1,x"), ("short", "1"), ("long", "1,2,3")):
         path = write(tmp_path, name, f"a,b\n{bad}\n")
         with pytest.raises(Exception, match="MALFORMED_RECORD"):

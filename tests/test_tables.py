@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftgraph.operators import degree, edges, results
+from weftgraph.operators.layout import EdgeLayout
 from weftgraph.plans import metrics
 from weftgraph.sources import tables
 
@@ -38,17 +39,63 @@ def test_read_graph_round_trip(spark, micro, written):
 
 
 def test_lookups_read_one_partition(spark, written):
-    graph = tables.read_graph(spark, written[0])
-    near = edges.neighbors(graph.edges, 3, tables.in_bucket(3))
+    graph = tables.open_graph(spark, written[0])
+    near = edges.neighbors(graph.edges_of(3), 3)
     assert [r.dst for r in near.collect()] == [1, 2, 4]
-    local = degree.degree_local(graph.edges, 3, tables.in_bucket(3))
+    local = degree.degree_local(graph.edges_of(3), 3)
     assert local.collect()[0].degree == 3
     for df in (near, local):
         assert "PartitionFilters: [isnotnull(src_bucket" in plan_of(df)
         assert "EqualTo(src,3)" in plan_of(df)
-    by_attr = tables.read_by_attr(spark, written[0]).where("language = 'DE'")
+    by_attr = graph.vertices_with("DE")
     assert sorted(r.id for r in by_attr.collect()) == [3, 4]
-    assert "PartitionFilters: [isnotnull(language" in plan_of(by_attr)
+    assert "PartitionFilters: [isnotnull(attr_bucket" in plan_of(by_attr)
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+@pytest.mark.parametrize("buckets", [1, 5, 32])
+def test_lookups_for_any_layout(spark, tmp_path, buckets, kind):
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(40)], f"a {kind}, b {kind}")
+    values = ["", "007", None, "7", " ", "é"]
+    vertices = spark.createDataFrame(
+        [(i, values[i % 6]) for i in range(41)], f"id {kind}, language string"
+    )
+    path = str(tmp_path / "g")
+    tables.write_graph(vertices, edges.symmetrize(pairs), path, buckets=buckets, attr_buckets=3)
+    graph = tables.open_graph(spark, path)
+    assert graph.buckets == buckets
+    for vertex in (0, 7, 39, 40):
+        want = [v for v in (vertex - 1, vertex + 1) if 0 <= v <= 40]
+        assert [r.dst for r in edges.neighbors(graph.edges_of(vertex), vertex).collect()] == want
+    for k, value in enumerate(values):
+        assert sorted(r.id for r in graph.vertices_with(value).collect()) == list(range(k, 41, 6))
+    stored = {r.id: r.language for r in graph.by_attr.collect()}
+    assert stored == {i: values[i % 6] for i in range(41)}
+    order = tables.stored_order(graph.edges).collect()
+    assert sum(r.n_edges for r in order) == 80 and all(r.out_of_order == 0 for r in order)
+
+
+def test_appended_rows_are_read_back(spark, micro, tmp_path):
+    path = str(tmp_path / "g")
+    tables.write_graph(micro.vertices, micro.edges, path)
+    links = spark.createDataFrame([(1, 2), (4, 5), (5, 4), (4, 5)], "src int, dst int")
+    people = spark.createDataFrame([(5, "XX"), (6, "DE")], "id int, language string")
+    for added in ({"vertices": 1, "edges": 2}, {"vertices": 0, "edges": 0}):
+        assert tables.append_to_graph(spark, path, people, links) == added
+    graph = tables.open_graph(spark, path)
+    counts = {r.table: r.n_rows for r in tables.load_counts(spark, path).collect()}
+    assert counts == {"vertices": 6, "edges": 10, "vertices_by_attr": 6}
+    assert [r.dst for r in edges.neighbors(graph.edges_of(4), 4).collect()] == [3, 5]
+    assert sorted(r.id for r in graph.vertices_with("DE").collect()) == [3, 4, 6]
+    with pytest.raises(ValueError, match="columns differ"):
+        tables.append_absent(spark, links, f"{path}/edges", ["src", "dst"])
+
+
+def test_results_keep_precision_until_written(spark, tmp_path):
+    rows = spark.createDataFrame([("x", 1.23456789)], "metric string, value double")
+    tables.write_results(rows, str(tmp_path / "r"))
+    back = tables.read_results(spark, str(tmp_path / "r"), "metric string, value double")
+    assert back.first().value == 1.234568
 
 
 def test_insert_if_absent(spark, tmp_path):
@@ -71,6 +118,8 @@ def test_upsert_latest(spark):
     )
     latest = tables.upsert_latest(log, ["id"], "ts", "seq")
     assert sorted((r.id, r.value) for r in latest.collect()) == [(1, "c"), (2, None)]
+    timeless = spark.createDataFrame([(1, None, "a")], "id int, ts int, value string")
+    assert tables.upsert_latest(timeless, ["id"], "ts").first().value == "a"
     again = tables.upsert_latest(log.select("id", "ts", "value"), ["id"], "ts")
     assert {r.id: r.ts for r in again.collect()} == {1: 20, 2: 5}
     assert dict(tables.stamped(log).dtypes)["written_at"] == "timestamp"
@@ -86,7 +135,7 @@ def test_results_round_trip(spark, micro, tmp_path):
     path = str(tmp_path / "results")
     tables.write_results(found, path)
     back = tables.read_results(spark, path, metrics.RESULT_SCHEMA)
-    want = {(r.metric, r.field): r.value for r in found.collect()}
+    want = {(r.metric, r.field): round(r.value, 6) for r in found.collect()}
     assert {(r.metric, r.field): r.value for r in back.collect()} == want
     assert want[("clustering", "transitivity")] == 0.6
     assert want[("betweenness", "3")] == 4.0
@@ -96,6 +145,28 @@ def test_results_round_trip(spark, micro, tmp_path):
     }
 
 
+def test_a_failing_metric_does_not_stop_the_others(micro, monkeypatch):
+    errors: dict[str, str] = {}
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("no ranks today")
+
+    monkeypatch.setattr(metrics, "pagerank", broken)
+    found = metrics.run_metrics(micro, errors=errors, sources=5)
+    assert errors == {"pagerank": "no ranks today"}
+    assert len({r.metric for r in found.collect()}) == 5
+    with pytest.raises(RuntimeError):
+        metrics.run_metrics(micro, sources=5)
+
+
+def test_metrics_share_one_projection(micro, monkeypatch):
+    built = []
+    build = EdgeLayout.build
+    monkeypatch.setattr(EdgeLayout, "build", staticmethod(lambda e: built.append(1) or build(e)))
+    metrics.run_metrics(micro, sources=5).collect()
+    assert built == [1]
+
+
 def test_timing_tables(spark):
     seconds = metrics.timed(lambda: None, runs=3)
     assert len(seconds) == 3
@@ -109,8 +180,7 @@ def test_timing_tables(spark):
     assert metrics.median_seconds({"degree": [1.0, 3.0, 8.0]}) == {"degree": 3.0}
 
 
-@pytest.mark.parametrize("group_limit", [1_000_000, 10])
-def test_grouped_median(spark, group_limit):
+def test_grouped_median(spark):
     """One group holds most rows, one only repeats, one is a single row, one has no key."""
     rng = random.Random(7)
     groups = {
@@ -122,7 +192,7 @@ def test_grouped_median(spark, group_limit):
     }
     rows = [(k, v) for k, values in groups.items() for v in values] + [("hot", None)]
     frame = spark.createDataFrame(rows, "k string, v double")
-    got = results.grouped_median(frame, ["k"], "v", group_limit).collect()
+    got = results.grouped_median(frame, ["k"], "v").collect()
     assert {r.k: r.n for r in got} == {k: len(v) for k, v in groups.items()}
     want = {k: round(statistics.median(v), 6) for k, v in groups.items()}
     assert {r.k: r.median for r in got} == pytest.approx(want, abs=1e-6)
@@ -139,6 +209,18 @@ def test_ledger_and_diff(spark):
     b = spark.createDataFrame([("x", 1.0000001), ("z", 2.0)], "metric string, value double")
     same = {r.metric: r.same for r in results.metric_diff(a, b).collect()}
     assert same == {"x": True, "y": False, "z": False}
+    odd = [("nan", float("nan")), ("null", None), ("one", None), ("inf", float("inf"))]
+    left = spark.createDataFrame(odd, "metric string, value double")
+    right = spark.createDataFrame([*odd[:2], ("one", 1.0), odd[3]], "metric string, value double")
+    same = {r.metric: r.same for r in results.metric_diff(left, right).collect()}
+    assert same == {"nan": True, "null": True, "one": False, "inf": True}
+
+
+def test_merge_replaces_null_keys(spark):
+    old = spark.createDataFrame([(None, 1), ("a", 1), ("b", 1)], "system string, n int")
+    new = spark.createDataFrame([(None, 2), ("a", 2)], "system string, n int")
+    merged = results.merge_results(old, new, ["system"]).collect()
+    assert sorted((str(r.system), r.n) for r in merged) == [("None", 2), ("a", 2), ("b", 1)]
 
 
 def test_edges_per_bucket_covers_all_edges(micro):

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.functions import rounded
-
 
 def out_degree(edges: DataFrame) -> DataFrame:
     """``(src, degree)`` of every vertex with an edge."""
@@ -35,8 +33,8 @@ def degree_stats(
     degrees = vertex_degree(vertices, edges) if include_isolated else out_degree(edges)
     return degrees.agg(
         F.count(F.lit(1)).alias("n_vertices"),
-        rounded(F.avg("degree")).alias("avg_degree"),
-        rounded(F.stddev_pop("degree")).alias("std_degree"),
+        F.avg("degree").alias("avg_degree"),
+        F.stddev_pop("degree").alias("std_degree"),
         F.max("degree").alias("max_degree"),
     )
 
@@ -84,5 +82,5 @@ def graph_counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return sums.select(
         F.col("v").alias("n_vertices"),
         F.col("e").alias("n_edges"),
-        rounded(2 * F.col("e") / F.nullif(F.col("v"), F.lit(0))).alias("mean_degree"),
+        (2 * F.col("e") / F.nullif(F.col("v"), F.lit(0))).alias("mean_degree"),
     )

@@ -5,47 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftgraph.functions import rounded
 from weftgraph.session import materialize, partitions_for
 
-# Groups of at most this many rows are handed to the built-in median.
-GROUP_LIMIT = 1_000_000
 
-
-def grouped_median(
-    df: DataFrame, keys: list[str], value: str, group_limit: int = GROUP_LIMIT
-) -> DataFrame:
+def grouped_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """The exact median of ``value`` per group, as ``(*keys, n, median)``.
 
-    Null values do not count. The built-in median keeps the distinct values of a
-    group in one task, so it serves only while every group is small; otherwise
-    the values are sorted across the cluster.
+    Null values do not count. The built-in median would keep the values of a group in one
+    task, so values are sorted across the cluster: a large group spans many range
+    partitions, since the value is part of the range key and equal values are counted into
+    one row before. Totals per group and partition give the rows before each
+    partition; only the partitions that hold a middle rank are then ranked, each on its
+    own.
     """
+    spark = df.sparkSession
     data = df.where(F.col(value).isNotNull()).select(
         *keys, F.col(value).cast("double").alias("x")
     )
-    size = F.count(F.lit(1)).alias("n")
-    sizes = data.groupBy(*keys).agg(size).agg(F.max("n").alias("largest"), F.sum("n").alias("rows"))
-    seen = sizes.first()
-    if (seen["largest"] or 0) <= group_limit:
-        medians = data.groupBy(*keys).agg(size, F.median("x").alias("median"))
-    else:
-        medians = _sorted_median(data, keys, seen["rows"])
-    return medians.select(*keys, "n", rounded("median").alias("median"))
-
-
-def _sorted_median(data: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """Medians from one range-partitioned sort of (keys, value).
-
-    A large group spans many range partitions, since the value is part of the
-    range key and equal values are counted into one row before. Totals per group
-    and partition give the rows before each partition; only the partitions that
-    hold a middle rank are then ranked, each on its own.
-    """
-    spark = data.sparkSession
-    counted = data.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
+    counted, seen = materialize(data.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c")))
     ordered, _ = materialize(
-        counted.repartitionByRange(partitions_for(spark, rows), *keys, "x").withColumn(
+        counted.repartitionByRange(partitions_for(spark, seen["rows"]), *keys, "x").withColumn(
             "part", F.spark_partition_id()
         )
     )
@@ -73,6 +52,7 @@ def _sorted_median(data: DataFrame, keys: list[str], rows: int) -> DataFrame:
         ranked.select(*keys, "n", low.alias("low"), high.alias("high"))
         .groupBy(*keys, "n")
         .agg(((F.max("low") + F.max("high")) / 2).alias("median"))
+        .select(*keys, "n", "median")
     )
 
 
@@ -90,8 +70,9 @@ def timing_pivot(
 
 def merge_results(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """``old`` with all rows of the keys found in ``new`` replaced by those of ``new``."""
-    rerun = new.select(*keys).distinct()
-    return old.join(rerun, keys, "left_anti").unionByName(new)
+    rerun = new.select(*[F.col(c).alias(f"new_{c}") for c in keys]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"new_{c}")) for c in keys]
+    return old.join(rerun, same, "left_anti").unionByName(new)
 
 
 def ledger_reconcile(balances: DataFrame, deltas: DataFrame, initial: int = 1000) -> DataFrame:
@@ -114,11 +95,13 @@ def metric_diff(left: DataFrame, right: DataFrame, tol: float = 1e-6) -> DataFra
     """Two result tables ``(metric, value)`` side by side.
 
     ``same`` is false for a difference above ``tol`` and for a metric that only
-    one side has.
+    one side has. Two nulls are the same, and so are two NaNs.
     """
-    a = left.select("metric", F.col("value").alias("left_value"))
-    b = right.select("metric", F.col("value").alias("right_value"))
-    close = F.abs(F.col("left_value") - F.col("right_value")) <= tol
+    a = left.select("metric", F.col("value").alias("left_value"), F.lit(True).alias("in_left"))
+    b = right.select("metric", F.col("value").alias("right_value"), F.lit(True).alias("in_right"))
+    x, y = F.col("left_value"), F.col("right_value")
+    close = (F.abs(x - y) <= tol) | x.eqNullSafe(y)
+    found = F.col("in_left") & F.col("in_right") & close
     return a.join(b, "metric", "full").select(
-        "metric", "left_value", "right_value", F.coalesce(close, F.lit(False)).alias("same")
+        "metric", "left_value", "right_value", F.coalesce(found, F.lit(False)).alias("same")
     )

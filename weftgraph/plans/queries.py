@@ -11,21 +11,25 @@ from weftgraph.functions import rounded, to_attribute, to_flag, to_integer, top_
 from weftgraph.graph import Graph
 from weftgraph.operators import clustering, degree, edges, mixing, pagerank, paths, results, sample
 from weftgraph.plans.graphs import (
+    KINDS,
     geo_graph,
+    hub_graph,
+    order_graph,
     part_vertices,
-    returns_graph,
     table,
     trade_edge_list,
     trade_graph,
     trade_vertices,
 )
+from weftgraph.plans import metrics
 from weftgraph.session import materialize, scratch_path
 from weftgraph.sources import csv, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ADJACENCY_BLOCK = 512
-SOURCES = 16
+SOURCES = 100
+MAX_DEPTH = 6
 
 
 def _trade_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +105,53 @@ def load_counts(spark, sf_dir):
     return tables.write_graph(graph.vertices, graph.edges, scratch_path(spark, "graph"), attr="attr")
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> tables.StoredGraph:
+    """The trade graph as written, for lookups that read what they need of it."""
+    graph, path = trade_graph(spark, sf_dir), scratch_path(spark, "graph")
+    tables.write_graph(graph.vertices, graph.edges, path, buckets=16, attr="attr")
+    return tables.open_graph(spark, path)
+
+
+def neighbors_stored(spark, sf_dir):
+    return edges.neighbors(_stored(spark, sf_dir).edges_of(0), 0)
+
+
+def degree_local_stored(spark, sf_dir):
+    return degree.degree_local(_stored(spark, sf_dir).edges_of(0), 0)
+
+
+def vertices_with_attr_stored(spark, sf_dir):
+    return _stored(spark, sf_dir).vertices_with("ECONOMY")
+
+
+def stored_edge_order(spark, sf_dir):
+    return tables.stored_order(_stored(spark, sf_dir).edges)
+
+
+def append_absent_edges(spark, sf_dir):
+    """Links of finished orders, to which those of all orders are appended twice."""
+    graph, path = trade_graph(spark, sf_dir), scratch_path(spark, "graph")
+    finished = edges.symmetrize(trade_edge_list(spark, sf_dir, "o_orderstatus = 'F'"))
+    tables.write_graph(graph.vertices, finished, path, attr="attr")
+    for _ in range(2):
+        tables.append_to_graph(spark, path, edges=graph.edges)
+    return tables.open_graph(spark, path).graph.edges
+
+
+def edges_per_bucket_hash(spark, sf_dir):
+    return tables.edges_per_bucket(_trade_edges(spark, sf_dir), 8)
+
+
+def results_json(spark, sf_dir):
+    """Degrees written as JSON with the time of the write, and read back."""
+    path = scratch_path(spark, "results")
+    rows = degree.out_degree(_trade_edges(spark, sf_dir))
+    tables.write_results(tables.stamped(rows), path)
+    back = tables.read_results(spark, path, "src bigint, degree bigint, written_at timestamp")
+    late = F.col("written_at") > F.current_timestamp()
+    return back.select("src", "degree", (F.col("written_at").isNotNull() & ~late).alias("stamped"))
+
+
 def edges_per_bucket(spark, sf_dir):
     return tables.edges_per_bucket(_trade_edges(spark, sf_dir), 8, tables.modulo_shard)
 
@@ -125,7 +176,7 @@ def _some_missing(spark, sf_dir):
     """The trade vertices that remain once the parts of brand 1 are withdrawn."""
     gone = table(spark, sf_dir, "part").where("p_brand = 'Brand#1'")
     return trade_vertices(spark, sf_dir).join(
-        gone.select((F.col("p_partkey") * 3).alias("id")), "id", "left_anti"
+        gone.select((F.col("p_partkey") * KINDS).alias("id")), "id", "left_anti"
     )
 
 
@@ -139,7 +190,7 @@ def edges_orphan(spark, sf_dir):
 
 def graph_counts(spark, sf_dir):
     graph = trade_graph(spark, sf_dir)
-    return degree.graph_counts(graph.vertices, graph.edges)
+    return _rounded(degree.graph_counts(graph.vertices, graph.edges), "mean_degree")
 
 
 # --- projections and filters
@@ -157,7 +208,8 @@ def edge_exists(spark, sf_dir):
     """Lines whose supplier also served a customer with the number of the part."""
     lines = table(spark, sf_dir, "lineitem")
     pairs = lines.select(
-        (F.col("l_suppkey") * 3 + 1).alias("src"), (F.col("l_partkey") * 3 + 2).alias("dst")
+        (F.col("l_suppkey") * KINDS + 1).alias("src"),
+        (F.col("l_partkey") * KINDS + 2).alias("dst"),
     ).distinct()
     return edges.edge_exists(pairs, _trade_edges(spark, sf_dir))
 
@@ -168,9 +220,8 @@ def vertices_with_attr(spark, sf_dir):
 
 def vertices_by_attr(spark, sf_dir):
     path = scratch_path(spark, "by-attr")
-    vertices = trade_vertices(spark, sf_dir)
-    tables.write_attr_copy(vertices, path, "attr")
-    return tables.read_by_attr(spark, path).select("attr", "id")
+    tables.write_attr_copy(trade_vertices(spark, sf_dir), path, "attr")
+    return spark.read.parquet(f"{path}/vertices_by_attr").select("attr", "id")
 
 
 def attr_counts(spark, sf_dir):
@@ -184,13 +235,20 @@ def out_degree(spark, sf_dir):
     return degree.out_degree(_trade_edges(spark, sf_dir))
 
 
+def _rounded(frame: DataFrame, *names: str, digits: int = 6) -> DataFrame:
+    """Results as reported: operators return full precision."""
+    return frame.withColumns({name: rounded(name, digits) for name in names})
+
+
 def degree_stats(spark, sf_dir):
-    return degree.degree_stats(returns_graph(spark, sf_dir).edges)
+    stats = degree.degree_stats(order_graph(spark, sf_dir).edges)
+    return _rounded(stats, "avg_degree", "std_degree")
 
 
 def degree_stats_all(spark, sf_dir):
-    graph = returns_graph(spark, sf_dir)
-    return degree.degree_stats(graph.edges, graph.vertices, include_isolated=True)
+    graph = order_graph(spark, sf_dir)
+    stats = degree.degree_stats(graph.edges, graph.vertices, include_isolated=True)
+    return _rounded(stats, "avg_degree", "std_degree")
 
 
 def degree_local(spark, sf_dir):
@@ -211,8 +269,12 @@ def adjacency_list(spark, sf_dir):
 # --- clustering
 
 
+def _as_bigint(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("wedges", F.col("wedges").cast("bigint"))
+
+
 def wedge_count(spark, sf_dir):
-    return clustering.wedge_count(_trade_edges(spark, sf_dir))
+    return _as_bigint(clustering.wedge_count(_trade_edges(spark, sf_dir)))
 
 
 def triangle_list(spark, sf_dir):
@@ -224,7 +286,18 @@ def triangle_count(spark, sf_dir):
 
 
 def transitivity(spark, sf_dir):
-    return clustering.transitivity(_cut(trade_graph(spark, sf_dir)).edges)
+    found = clustering.transitivity(_cut(trade_graph(spark, sf_dir)).edges)
+    return _rounded(_as_bigint(found), "transitivity")
+
+
+def triangles_of_a_hub(spark, sf_dir):
+    """Triangles of nation, customer and segment, with hubs of a fifth of all vertices."""
+    return clustering.vertex_triangles(_cut(hub_graph(spark, sf_dir)).edges)
+
+
+def pagerank_of_a_hub(spark, sf_dir):
+    """Ranks of a graph whose edges must be cut into slices."""
+    return _ranks(_cut(hub_graph(spark, sf_dir)))
 
 
 def local_cc(spark, sf_dir):
@@ -236,7 +309,7 @@ def local_cc(spark, sf_dir):
 
 def avg_local_cc(spark, sf_dir):
     graph = _cut(trade_graph(spark, sf_dir))
-    return clustering.avg_local_cc(graph.vertices, graph.edges)
+    return _rounded(clustering.avg_local_cc(graph.vertices, graph.edges), "avg_local_cc")
 
 
 # --- attribute mixing
@@ -254,12 +327,12 @@ def mixing_matrix(spark, sf_dir):
 
 def assortativity(spark, sf_dir):
     graph = trade_graph(spark, sf_dir)
-    return mixing.assortativity(graph.edges, graph.vertices, "attr")
+    return _rounded(mixing.assortativity(graph.edges, graph.vertices, "attr"), "assortativity")
 
 
 def assortativity_geo(spark, sf_dir):
     graph = geo_graph(spark, sf_dir)
-    return mixing.assortativity(graph.edges, graph.vertices, "attr")
+    return _rounded(mixing.assortativity(graph.edges, graph.vertices, "attr"), "assortativity")
 
 
 # --- PageRank
@@ -282,24 +355,34 @@ def pagerank_all(spark, sf_dir):
 
 
 def pagerank_isolated(spark, sf_dir):
-    return _ranks(_cut(returns_graph(spark, sf_dir)))
+    return _ranks(_cut(order_graph(spark, sf_dir)))
 
 
 def pagerank_top10(spark, sf_dir):
     graph = _cut(trade_graph(spark, sf_dir))
-    return pagerank.pagerank_top(graph.vertices, graph.edges, 10)
+    return _rounded(pagerank.pagerank_top(graph.vertices, graph.edges, 10), "rank", digits=10)
 
 
 # --- paths
 
 
+def _walks(graph: Graph, max_depth: int | None) -> DataFrame:
+    sources = sample.sample_sources(graph.vertices, SOURCES)
+    return paths.bfs_distances(graph.edges, sources, max_depth)
+
+
 def bfs_distances(spark, sf_dir):
-    graph = _cut(returns_graph(spark, sf_dir))
-    return paths.bfs_distances(graph.edges, sample.sample_sources(graph.vertices, SOURCES))
+    return _walks(_cut(trade_graph(spark, sf_dir)), MAX_DEPTH)
 
 
 def bfs_summary(spark, sf_dir):
-    return paths.bfs_summary(bfs_distances(spark, sf_dir))
+    found = paths.bfs_summary(_walks(_cut(order_graph(spark, sf_dir)), MAX_DEPTH))
+    return _rounded(found, "avg_dist")
+
+
+def bfs_summary_unbounded(spark, sf_dir):
+    found = paths.bfs_summary(_walks(_cut(order_graph(spark, sf_dir)), None))
+    return _rounded(found, "avg_dist")
 
 
 def sample_sources(spark, sf_dir):
@@ -318,14 +401,15 @@ def betweenness(spark, sf_dir):
 
 def betweenness_top10(spark, sf_dir):
     graph = _cut(trade_graph(spark, sf_dir))
-    return top_k(_scores(graph), "score", 10, digits=6)
+    return _rounded(top_k(_scores(graph), "score", 10), "score")
 
 
 # --- result tables
 
 
 def grouped_median(spark, sf_dir):
-    return results.grouped_median(table(spark, sf_dir, "events"), ["event_type"], "value")
+    medians = results.grouped_median(table(spark, sf_dir, "events"), ["event_type"], "value")
+    return _rounded(medians, "median")
 
 
 def timing_pivot(spark, sf_dir):
@@ -333,7 +417,8 @@ def timing_pivot(spark, sf_dir):
         F.col("event_type").alias("metric"), (F.col("user_id") % 2).alias("system"), F.col("value").alias("sec")
     )
     pivoted = results.timing_pivot(log, [0, 1])
-    return pivoted.withColumnsRenamed({"0": "system_0", "1": "system_1"})
+    named = pivoted.withColumnsRenamed({"0": "system_0", "1": "system_1"})
+    return _rounded(named, "system_0", "system_1")
 
 
 def _event_totals(spark, sf_dir):
@@ -367,10 +452,17 @@ def metric_diff(spark, sf_dir):
         )
 
     return results.metric_diff(
-        degrees(trade_graph(spark, sf_dir)), degrees(returns_graph(spark, sf_dir)), 0.0
+        degrees(trade_graph(spark, sf_dir)), degrees(order_graph(spark, sf_dir)), 0.0
     )
 
 
+def run_metrics(spark, sf_dir):
+    """All six metrics of the trade graph from one projection, as reported."""
+    graph = _cut(trade_graph(spark, sf_dir))
+    found = metrics.run_metrics(graph, "attr", sources=SOURCES)
+    return found.select("metric", "field", rounded(F.col("value"), 6).alias("value"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -383,6 +475,8 @@ QUERIES: dict[str, Query] = {
         mixing_matrix, assortativity, assortativity_geo, pagerank_step, pagerank_isolated,
         pagerank_top10, bfs_distances, bfs_summary, sample_sources, betweenness,
         betweenness_top10, grouped_median, timing_pivot, merge_results, ledger_reconcile,
-        metric_diff,
+        metric_diff, neighbors_stored, degree_local_stored, vertices_with_attr_stored,
+        stored_edge_order, append_absent_edges, edges_per_bucket_hash, results_json,
+        bfs_summary_unbounded, triangles_of_a_hub, pagerank_of_a_hub, run_metrics,
     )
 } | {"pagerank": pagerank_all}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -39,7 +40,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             named = tempfile.mkdtemp(prefix="weftgraph-")
         context.setCheckpointDir(named)

@@ -29,13 +29,16 @@ def normalize_vertices(raw: DataFrame) -> DataFrame:
     return raw.select(*[columns[name].alias(name) for name in VERTEX_COLUMNS])
 
 
-def read_vertices(spark: SparkSession, path: str) -> DataFrame:
+def read_vertices(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Vertices from CSV files with a header; columns are found by name.
 
     Nothing is inferred: all columns are read as text and then typed, and a bad
-    integer fails the query.
+    integer fails the query. A doubled quote inside quotes is one quote. With
+    ``multi_line`` quoted line breaks belong to the value; a file is then read by one task.
     """
-    return normalize_vertices(spark.read.csv(path, header=True, multiLine=False))
+    return normalize_vertices(
+        spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line)
+    )
 
 
 def read_edges(spark: SparkSession, path: str) -> DataFrame:
