@@ -133,8 +133,8 @@ def _open(lists: DataFrame) -> DataFrame:
 def _pivots(lists: DataFrame, open_lists: DataFrame, round_number: int) -> DataFrame:
     """``(value, pivot, pivot_n, pivot_component)``: members to compare with the others.
 
-    First the member with the highest weight; later up to 2, 4, 8 ... members outside the
-    largest component, dealt by hash, so that any list is done after few rounds.
+    First the member with the highest weight; later up to 8, 64, 512 ... members outside
+    the largest component, dealt by hash, so that any list is done after few rounds.
     """
     member = F.struct(
         F.col("weight"),
@@ -146,7 +146,7 @@ def _pivots(lists: DataFrame, open_lists: DataFrame, round_number: int) -> DataF
     if round_number == 0:
         chosen = here.groupBy("value").agg(F.max(member).alias("p"))
     else:
-        slot = F.pmod(F.xxhash64("node", F.lit(round_number)), F.lit(1 << round_number))
+        slot = F.pmod(F.xxhash64("node", F.lit(round_number)), F.lit(8**round_number))
         chosen = (
             here.where("component <> main")
             .groupBy("value", slot.alias("slot"))
