@@ -36,6 +36,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """True if every node is either tied to one other or has others tied to it."""
+    ends = F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("tied"), F.lit(0).alias("root")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("tied"), F.lit(1).alias("root")),
+    )
+    nodes = (
+        edges.select(F.inline(ends))
+        .groupBy("node")
+        .agg(F.sum("tied").alias("tied"), F.max("root").alias("root"))
+    )
+    return nodes.where("tied + root > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for the nodes of ``edges`` ``(u, v)``; the smallest node names it.
 
@@ -45,11 +59,8 @@ def components(edges: DataFrame) -> DataFrame:
     Spark splits where a node has very many edges. No edge ever reaches the driver.
     """
     current = stored(_small_star(edges.select("u", "v").where("u <> v")), "stars")
-    while True:
-        following = stored(_small_star(_large_star(current)), "stars")
-        if following.count() == current.count() and following.exceptAll(current).isEmpty():
-            break
-        current = following
+    while not _are_stars(current):
+        current = stored(_small_star(_large_star(current)), "stars")
     roots = current.select(F.col("v").alias("node")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))

@@ -26,6 +26,7 @@ from weftgraph.llm.common import map_rows, mixed, stored, utf8, word_hash
 from weftgraph.llm.components import components
 
 SKETCH = 48
+SHORT = 12  # lists of so many members are done in one round
 MISS = 1e-10  # accepted chance that a pair at the threshold shares too few values
 
 def words_of(text: bytes) -> list[bytes]:
@@ -117,12 +118,13 @@ def _lists(nodes: DataFrame, percent: int, k: int) -> DataFrame:
 
 
 def _open(lists: DataFrame) -> DataFrame:
-    """The lists with members in more than one component, and their largest component."""
+    """The lists with members in more than one component, their size and largest component."""
     members = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("size"))
     return (
         members.groupBy("value")
         .agg(
             F.max_by("component", F.struct("size", "component")).alias("main"),
+            F.sum("size").alias("members"),
             F.count(F.lit(1)).alias("parts"),
         )
         .where("parts > 1")
@@ -133,8 +135,9 @@ def _open(lists: DataFrame) -> DataFrame:
 def _pivots(lists: DataFrame, open_lists: DataFrame, round_number: int) -> DataFrame:
     """``(value, pivot, pivot_n, pivot_component)``: members to compare with the others.
 
-    First the member with the highest weight; later up to 8, 64, 512 ... members outside
-    the largest component, dealt by hash, so that any list is done after few rounds.
+    First every member of a short list, and of others the one with the highest weight;
+    later up to 8, 64, 512 ... members outside the largest component, dealt by hash, so
+    that any list is done after few rounds.
     """
     member = F.struct(
         F.col("weight"),
@@ -144,7 +147,8 @@ def _pivots(lists: DataFrame, open_lists: DataFrame, round_number: int) -> DataF
     )
     here = lists.join(open_lists, "value")
     if round_number == 0:
-        chosen = here.groupBy("value").agg(F.max(member).alias("p"))
+        slot = F.when(F.col("members") <= SHORT, F.xxhash64("node")).otherwise(F.lit(0))
+        chosen = here.groupBy("value", slot.alias("slot")).agg(F.max(member).alias("p"))
     else:
         slot = F.pmod(F.xxhash64("node", F.lit(round_number)), F.lit(8**round_number))
         chosen = (

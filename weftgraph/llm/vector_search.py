@@ -20,7 +20,7 @@ from weftgraph.llm.common import stored
 
 CELLS = 256
 QUERY_BLOCK = 4_096
-VECTOR_BLOCK = 4_096
+VECTOR_BLOCK = 1_024
 STEP = 256  # queries scored at a time within a block
 
 
