@@ -110,7 +110,9 @@ def remove_repeats(
     """
     out = docs.drop("removed", "removed_words", "repeats_of")
     names = out.columns
-    row_key, content, places, sources = fresh(out, "row_key", "content", "places", "sources")
+    row_key, content, places, sources, later_id, later_row = fresh(
+        out, "row_key", "content", "places", "sources", "later_id", "later_row"
+    )
     spread = out.withColumn(row_key, F.xxhash64(F.col(id_col), F.col(text_col)))
     id_type = docs.schema[id_col].dataType
 
@@ -143,7 +145,7 @@ def remove_repeats(
     later = (
         each.join(earliest, "digest")
         .where("id is null or id > earliest")
-        .groupBy(F.col("row").alias(row_key))
+        .groupBy(F.col("id").alias(later_id), F.col("row").alias(later_row))
         .agg(
             F.collect_set("first").alias(places),
             F.sort_array(F.collect_set("earliest")).alias(sources),
@@ -172,7 +174,8 @@ def remove_repeats(
     more = StructType.fromDDL(
         "removed array<struct<start: long, length: long>>, removed_words long"
     ).add("repeats_of", ArrayType(id_type))
-    joined = spread.join(later, row_key, "left")
+    same = (F.col(row_key) == F.col(later_row)) & F.col(id_col).eqNullSafe(F.col(later_id))
+    joined = spread.join(later, same, "left")
     return map_rows(
         joined.select(*names, utf8(text_col).alias(content), places, sources),
         rebuilt,
