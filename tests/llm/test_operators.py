@@ -68,7 +68,7 @@ def test_rules(messy, nothing):
     rows = quality_rules.apply_policy(quality_rules.ledger(messy), "standard-2")
     found = {r.doc_id: r for r in rows.collect()}
     assert len(found) == 8 and not found[2].kept and found[5].kept
-    assert (found[7].n_words, found[7].n_symbols) == (6, 7)
+    assert (found[7].n_words, found[7].n_symbols) == (7, 8)
     ablation = {(r.policy, r.rule): r for r in quality_rules.ablations(rows).collect()}
     assert ablation["base-1", "few_words"].failed == 9
     assert quality_rules.ledger(nothing).collect() == []
@@ -133,7 +133,7 @@ def test_pieces_and_packing(messy, nothing):
             assert offset == at
             at += length
         assert at <= 2048
-    for r in packing.filled(parts, placed).collect():
+    for r in packing.filled(placed).collect():
         assert len(r.ids) == 4 * r.n_tokens
     empty = stored(packing.pieces(nothing, tokenizer_path()), "none")
     assert packing.pack(empty).collect() == []

@@ -99,6 +99,15 @@ def word_hash(word: bytes) -> int:
     return at
 
 
+def in_tasks(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:
+    """``df``, made by about ``rows`` rows, in no more tasks than these are worth.
+
+    Loops over small frames otherwise pay for all shuffle partitions at each step.
+    """
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, -(-rows // per_task)))
+
+
 def sized(df: DataFrame) -> int:
     """Partitions for the rows of a stored frame; the count comes from file footers."""
     return partitions_for(df.sparkSession, df.count())

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import map_rows, mixed, stored, utf8, word_hash
+from weftgraph.llm.common import in_tasks, map_rows, mixed, stored, utf8, word_hash
 from weftgraph.llm.components import components
 
 SKETCH = 48
@@ -176,7 +176,8 @@ def _likely(pairs: DataFrame, sketches: DataFrame, percent: int, k: int, id_type
     joined = joined.join(
         sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b"
     )
-    return map_rows(joined.select("a", "b", "sketch_a", "sketch_b"), estimated, f"a {id_type}, b {id_type}")
+    joined = in_tasks(joined.select("a", "b", "sketch_a", "sketch_b"), pairs.count(), 20_000)
+    return map_rows(joined, estimated, f"a {id_type}, b {id_type}")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int, id_type: str) -> DataFrame:
@@ -193,9 +194,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int, id_t
 
     joined = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     joined = joined.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return map_rows(
-        joined.select("a", "b", "text_a", "text_b"), compared, f"u {id_type}, v {id_type}"
-    )
+    joined = in_tasks(joined.select("a", "b", "text_a", "text_b"), pairs.count(), 2_000)
+    return map_rows(joined, compared, f"u {id_type}, v {id_type}")
 
 
 def _round(
@@ -203,10 +203,11 @@ def _round(
     width: int, k: int, id_type: str,
 ) -> tuple[DataFrame, DataFrame] | None:
     """New links and the pivots used, or None if no list is open."""
-    open_lists = stored(_open(lists), "open-lists")
+    rows = lists.count()
+    open_lists = stored(in_tasks(_open(lists), rows), "open-lists")
     if open_lists.isEmpty():
         return None
-    pivots = stored(_pivots(lists, open_lists, round_number), "pivots")
+    pivots = stored(in_tasks(_pivots(lists, open_lists, round_number), rows), "pivots")
     near = F.expr(
         f"100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n) and component <> pivot_component"
     )
@@ -216,7 +217,8 @@ def _round(
         .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         .distinct()
     )
-    likely = stored(_likely(stored(pairs, "pairs"), sketches, percent, k, id_type), "likely")
+    pairs = stored(in_tasks(pairs, rows), "pairs")
+    likely = stored(_likely(pairs, sketches, percent, k, id_type), "likely")
     return stored(_verified(likely, texts, percent, width, id_type), "links"), pivots
 
 
@@ -275,7 +277,7 @@ def near_duplicates(
             known = links if found is None else links.unionByName(
                 found.select(F.col("node").alias("u"), F.col("component").alias("v"))
             )
-            found = stored(components(known), "components")
+            found = stored(components(stored(known, "known-links")), "components")
         rest = lists.join(
             pivots.select("value", F.col("pivot").alias("node")), ["value", "node"], "left_anti"
         )
@@ -286,7 +288,7 @@ def near_duplicates(
                 .withColumn("component", merged)
                 .drop("merged")
             )
-        lists = stored(rest, "lists")
+        lists = stored(in_tasks(rest, lists.count()), "lists")
         round_number += 1
     named_classes = classes.withColumn("component", F.col("node")) if found is None else (
         classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -233,12 +233,11 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> Data
     return parts.join(placed, ["row", "piece"])
 
 
-def filled(parts: DataFrame, placed: DataFrame) -> DataFrame:
-    """``(sequence_id, n_tokens, ids)``: the token ids of each sequence, from ``pieces`` with ids."""
-    with_ids = placed.join(parts.select("row", "piece", "ids"), ["row", "piece"])
+def filled(placed: DataFrame) -> DataFrame:
+    """``(sequence_id, n_tokens, ids)``: the token ids of each packed sequence of ``pieces`` with ids."""
     in_order = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     return (
-        with_ids.groupBy("sequence_id")
+        placed.groupBy("sequence_id")
         .agg(F.sum("length").alias("n_tokens"), in_order.alias("parts"))
         .select(
             "sequence_id",
