@@ -7,16 +7,17 @@ are listed, which keeps boilerplate out of the lists. Pairs from a list pass an
 of their similarity on the sketch of their union, and then their full shingle sets are
 compared exactly.
 
-No list is ever expanded into all its pairs. Equal sets are one node from the start. In
-each round some members of a list, its pivots, are compared with those other members
-that are not yet in their component; then components are merged and the pivots leave
-the list. A list is done when its members are in one component or one of them is left.
+No list is ever expanded into all its pairs. Equal sets are one node from the start. A
+text with too many shingles of its own leaves the lists. In each round some members of a
+list, its pivots, are compared with those other members that are not yet in their component
+and whose size is in reach; then components are merged and the pivots leave the list. A
+list is done when its members are in one component or one of them is left.
 """
 
 from __future__ import annotations
 
 from hashlib import blake2b
-from math import ceil, comb
+from math import comb
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -117,6 +118,46 @@ def _lists(nodes: DataFrame, percent: int, k: int) -> DataFrame:
     )
 
 
+def _unshared(texts: DataFrame, width: int, id_type: str) -> DataFrame:
+    """``(node, unshared)``: shingles of a listed text that no other listed text has."""
+
+    def hashed(batch: dict) -> list[tuple]:
+        return [
+            (node, shingle_hashes(words_of(text), width).tolist())
+            for node, text in zip(batch["node"], batch["text"])
+        ]
+
+    held = map_rows(texts, hashed, f"node {id_type}, hashes array<long>")
+    single = (
+        held.select("node", F.explode("hashes").alias("hash"))
+        .groupBy("hash")
+        .agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
+        .where("df = 1")
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).alias("unshared"))
+    )
+    # An id with several texts stands for all of them, so nothing is known of each.
+    once = texts.groupBy("node").agg(F.count(F.lit(1)).alias("texts")).where("texts = 1")
+    return single.join(once.select("node"), "node")
+
+
+def _reaching(lists: DataFrame, unshared: DataFrame, percent: int) -> DataFrame:
+    """``lists`` with ``most``, the shingles that a partner can have at most.
+
+    What no other text has is not in an intersection, so i <= n - unshared, and
+    100 i >= percent (n + partner - i) bounds the partner. Members that not even a partner of
+    the least size could match leave the lists.
+    """
+    shared = F.col("n") - F.coalesce("unshared", F.lit(0).cast("long"))
+    most = F.floor(shared * (100 + percent) / percent) - F.col("n")
+    return (
+        lists.join(unshared, "node", "left")
+        .withColumn("most", most.cast("long"))
+        .where(f"100 * most >= {percent} * n")
+        .drop("unshared")
+    )
+
+
 def _open(lists: DataFrame) -> DataFrame:
     """The lists with members in more than one component, their size and largest component."""
     members = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("size"))
@@ -133,7 +174,7 @@ def _open(lists: DataFrame) -> DataFrame:
 
 
 def _pivots(lists: DataFrame, open_lists: DataFrame, round_number: int) -> DataFrame:
-    """``(value, pivot, pivot_n, pivot_component)``: members to compare with the others.
+    """``(value, pivot, pivot_n, pivot_most, pivot_component)``: members to compare with the others.
 
     First every member of a short list, and of others the one with the highest weight;
     later up to 8, 64, 512 ... members outside the largest component, dealt by hash, so
@@ -143,6 +184,7 @@ def _pivots(lists: DataFrame, open_lists: DataFrame, round_number: int) -> DataF
         F.col("weight"),
         F.col("node").alias("pivot"),
         F.col("n").alias("pivot_n"),
+        F.col("most").alias("pivot_most"),
         F.col("component").alias("pivot_component"),
     )
     here = lists.join(open_lists, "value")
@@ -156,7 +198,7 @@ def _pivots(lists: DataFrame, open_lists: DataFrame, round_number: int) -> DataF
             .groupBy("value", slot.alias("slot"))
             .agg(F.max(member).alias("p"))
         )
-    return chosen.select("value", "p.pivot", "p.pivot_n", "p.pivot_component")
+    return chosen.select("value", "p.pivot", "p.pivot_n", "p.pivot_most", "p.pivot_component")
 
 
 def _likely(pairs: DataFrame, sketches: DataFrame, percent: int, k: int, id_type: str) -> DataFrame:
@@ -209,11 +251,12 @@ def _round(
         return None
     pivots = stored(in_tasks(_pivots(lists, open_lists, round_number), rows), "pivots")
     near = F.expr(
-        f"100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n) and component <> pivot_component"
+        f"lists.value = pivots.value and component <> pivot_component "
+        f"and 100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n) "
+        f"and n <= pivot_most and pivot_n <= most"
     )
     pairs = (
-        lists.join(pivots, "value")
-        .where(near)
+        lists.alias("lists").join(pivots.alias("pivots"), near)
         .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         .distinct()
     )
@@ -270,6 +313,8 @@ def near_duplicates(
         "texts",
     )
     sketches = stored(nodes.join(active, "node").select("node", "sketch"), "active-sketches")
+    unshared = stored(_unshared(texts, width, id_type), "unshared")
+    lists = stored(_reaching(lists, unshared, percent), "reaching")
     found, round_number = None, 0
     while made := _round(lists, round_number, sketches, texts, percent, width, k, id_type):
         links, pivots = made
