@@ -265,7 +265,8 @@ def test_repeated_passages_go(spark):
         if clean[r.doc_id] or r.doc_id == 0:
             assert r.text == original and r.repeats_of == []
         else:
-            assert r.repeats_of == [0] and r.removed_words >= 60 - 2 * substring_dedup.WINDOW - 2
+            # Borders near an end of the passage may first agree in a later document.
+            assert r.repeats_of[0] == 0 and r.removed_words >= 60 - 2 * substring_dedup.WINDOW - 2
         kept = r.text.split()
         for i in range(len(kept) - 49):
             windows[tuple(kept[i : i + 50])].add(r.doc_id)
