@@ -136,10 +136,10 @@ def test_walks_neither_shuffle_edges_nor_broadcast_rows(spark):
         rows = ids.select(F.col("id").alias("node"), F.lit(1.0).alias("share"))
         plan = plan_of(layout.step(rows, "node"))
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
-    # The only thing broadcast is the list of hot vertices, which is checked to be short.
-    assert plan.count("BroadcastExchange") == 1 and plan.count("SortMergeJoin") == 1
     own = plan[: plan.index("InMemoryRelation")]
-    assert own.count("Exchange") == 1 and own.count("Sort [") == 1
+    # The only thing broadcast is the list of hot vertices, which is checked to be short.
+    assert own.count("BroadcastExchange") == 1 and own.count("SortMergeJoin") == 1
+    assert own.count("Exchange hashpartitioning") == 1 and own.count("Sort [") == 1
 
 
 def test_sources_keep_to_distributed_calls():
