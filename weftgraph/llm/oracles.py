@@ -121,9 +121,187 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM bits
 """
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Every kept term against every pair of sources of its language.
+SOURCE_DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    {_LOWER.format("coalesce(text, '')")} AS text
+  FROM documents
+), t AS (
+  SELECT id, lang, source,
+    unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM d
+), kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS total FROM t GROUP BY lang, term
+  HAVING count(DISTINCT id) >= 10
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), v AS (
+  SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang
+), c AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS n FROM t JOIN kept USING (lang, term)
+  GROUP BY lang, source, term
+), sizes AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS size
+  FROM g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source
+), shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (s.size + 2 * v.v) AS p
+  FROM sizes s JOIN kept k ON k.lang = s.lang JOIN v ON v.lang = s.lang
+  LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), whole AS (
+  SELECT lang, sum(size) AS size FROM sizes GROUP BY lang
+), own AS (
+  SELECT k.lang, k.term,
+    1 + (1000000000::HUGEINT * (k.total + 2)) // (w.size + 2 * v.v) AS q
+  FROM kept k JOIN whole w USING (lang) JOIN v USING (lang)
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+), terms AS (
+  SELECT s.lang, s.source, 'term' AS part, s.term AS item,
+    (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+  FROM shares s JOIN own USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
+# All phrases of one to four words counted outright.
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    {_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces
+), grams AS (
+  SELECT lang, k AS size, unnest(list_transform(range(1, len(words) - k + 2),
+    lambda i: array_to_string(words[i : i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4])::INTEGER AS k)
+), f AS (
+  SELECT lang, size, phrase, count(*)::HUGEINT AS n FROM grams GROUP BY ALL
+), total AS (
+  SELECT lang, sum(n)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND n >= 30
+), cuts AS (
+  SELECT lang, size, phrase, a, k, array_to_string(words[1 : k], ' ') AS head,
+    array_to_string(words[k + 1 :], ' ') AS rest
+  FROM candidates, (SELECT unnest([1, 2, 3]) AS k) WHERE k < size
+), scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, l.n AS l, r.n AS r, (2000000 * c.a) // (l.n + r.n) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.head AND l.size = c.k
+  JOIN f r ON r.lang = c.lang AND r.phrase = c.rest AND r.size = c.size - c.k
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1
+), parts AS (
+  SELECT lang, a AS longer, array_to_string(words[i : i + s - 1], ' ') AS phrase
+  FROM candidates, (SELECT unnest([2, 3]) AS s), (SELECT unnest([1, 2, 3]) AS i)
+  WHERE s < size AND i + s - 1 <= size
+), longest AS (
+  SELECT lang, phrase, max(longer) AS longer FROM parts GROUP BY lang, phrase
+)
+SELECT s.lang, row_number() OVER (
+    PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase)::BIGINT AS rank,
+  s.phrase, s.a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, total.n, score::BIGINT AS score
+FROM scored s JOIN total ON total.lang = s.lang
+LEFT JOIN longest x ON x.lang = s.lang AND x.phrase = s.phrase
+WHERE longer IS NULL OR 100 * longer < 80 * s.a
+QUALIFY rank <= 2000
+"""
+
+# The longest of the five rules, else what the pages of host, domain and suffix say.
+_TWO = (
+    "'ac.uk', 'co.uk', 'gov.uk', 'org.uk', 'com.au', 'net.au', 'org.au', 'co.nz', 'co.jp', 'ne.jp', "
+    "'or.jp', 'com.br', 'com.cn', 'com.tr', 'com.mx', 'co.in', 'co.kr', 'co.za'"
+)
+
+
+def _level(name: str, children: str, parents: str, up: str, keys: str) -> str:
+    return f"""{name}_s AS (
+  SELECT {up}, sum(n)::DOUBLE AS pn, sum(bad)::DOUBLE AS pk, count(*)::DOUBLE - 1 AS others,
+    sum(n::DOUBLE * n) AS squares, sum(bad::DOUBLE * bad / n) AS within
+  FROM {children} GROUP BY {up}
+), {name}_v AS (
+  SELECT *, pk / pn AS p, within - pk * pk / pn - (pk / pn) * (1 - pk / pn) * others AS above,
+    (pk / pn) * (1 - pk / pn) * (pn - squares / pn - others) AS below
+  FROM {name}_s
+), {name}_p AS (
+  SELECT v.*, mean AS prior, CASE WHEN others < 1 OR below <= 1e-9 THEN 4.0 WHEN above <= 0 THEN 1000.0
+    ELSE greatest(1.0, least(1000.0, below / greatest(above, 1e-12) - 1)) END AS strength
+  FROM {name}_v v JOIN {parents} USING ({up})
+), {name} AS (
+  SELECT {keys}, (strength * prior + bad) / (strength + n) AS mean, strength + n AS weight
+  FROM {children} JOIN {name}_p USING ({up})
+)"""
+
+
+URLS = f"""
+WITH u AS (
+  SELECT page_id, html,
+    {_LOWER.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '')")} AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), s AS (
+  SELECT *, regexp_replace(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '\\.$', '') AS site,
+    string_split(site, '.') AS parts, array_to_string(parts[-2:], '.') AS two,
+    regexp_matches(site, '^[0-9]+\\.[0-9]+\\.[0-9]+\\.[0-9]+$') OR len(parts) < 2 AS whole
+  FROM u
+), h AS (
+  SELECT page_id, host, path,
+    CASE WHEN whole THEN site WHEN two IN ({_TWO}) THEN array_to_string(parts[-3:], '.') ELSE two END AS domain,
+    CASE WHEN whole THEN '' WHEN two IN ({_TWO}) THEN two ELSE parts[-1] END AS suffix,
+    CASE WHEN ends_with('.' || host, '.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+         WHEN ends_with('.' || host, '.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+         WHEN ends_with('.' || host, '.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+         WHEN ends_with('.' || host, '.com') AND starts_with(path, '/de/') THEN 'com/de/'
+         WHEN ends_with('.' || host, '.org') AND starts_with(path, '/') THEN 'org/' END AS rule,
+    regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<[^>]*>|&[a-z]+;', ' ', 'g') AS text
+  FROM s
+), o AS (
+  SELECT *, length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS full_,
+    length(regexp_replace(text, '[^#*$%|]', '', 'g')) AS symbols,
+    CASE WHEN regexp_matches(host, '(^|[^a-z0-9])(ads|bet|casino|cheap|viagra|lottery|payday|pills|poker|porn|replica|spam|track|warez|xxx)([^a-z0-9]|$)') THEN 1
+         WHEN full_ = 0 OR 100 * symbols > 5 * full_ THEN 1 WHEN full_ IS NOT NULL THEN 0 END AS bad
+  FROM h
+), hosts AS (
+  SELECT suffix, domain, host, count(*) AS n, sum(bad) AS bad FROM o WHERE bad IS NOT NULL GROUP BY ALL
+), domains AS (
+  SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL
+), suffixes AS (
+  SELECT 0 AS every, suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL
+), everything AS (
+  SELECT 0 AS every, (sum(bad) + 1) / (sum(n) + 2) AS mean FROM suffixes
+), {_level("top", "suffixes", "everything", "every", "suffix")}
+, {_level("middle", "domains", "top", "suffix", "suffix, domain")}
+, {_level("low", "hosts", "middle", "suffix, domain", "host")}
+, known AS (
+  SELECT o.*, coalesce(l.mean, m.mean, t.mean) AS mean, coalesce(l.weight, m.weight, t.weight) AS weight
+  FROM o LEFT JOIN low l ON l.host = o.host
+  LEFT JOIN middle m ON m.suffix = o.suffix AND m.domain = o.domain
+  LEFT JOIN top t ON t.suffix = o.suffix
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (weight + 1)) > 0.25 THEN 'block'
+       ELSE 'allow' END AS verdict
+FROM known
+"""
+
 ORACLES = {
     "op3_nearest_vectors": NEAREST,
     "op4_perspectives": PERSPECTIVES,
     "op7_near_duplicates": NEAR_DUPLICATES,
     "op10_rule_ledger": RULE_LEDGER,
+    "op11_source_divergence": SOURCE_DIVERGENCE,
+    "op12_collocations": COLLOCATIONS,
+    "op13_url_verdicts": URLS,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.llm import (
     chat_format,
+    collocations,
     license_scan,
     mixing,
     near_dedup,
@@ -14,13 +15,23 @@ from weftgraph.llm import (
     quality_model,
     quality_rules,
     sharding,
+    source_audit,
     substring_dedup,
+    url_filter,
     vector_search,
 )
 from weftgraph.llm.common import stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
 
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
 
 def tokenizer_path() -> str:
     """The tokenizer file of the registered queries, the same on every executor."""
@@ -104,6 +115,20 @@ def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    outcomes = url_filter.page_outcomes(pages)
+    return url_filter.judge_urls(pages, outcomes, URL_RULES).drop("bad_bound")
+
+
 QUERIES = {
     "op1_license_scan": licenses,
     "op2_repeated_passages": passages,
@@ -115,4 +140,7 @@ QUERIES = {
     "op8_packed_sequences": sequences,
     "op9_quality_classifier": quality,
     "op10_rule_ledger": rule_ledger,
+    "op11_source_divergence": divergence,
+    "op12_collocations": phrases,
+    "op13_url_verdicts": url_verdicts,
 }
