@@ -113,19 +113,43 @@ def test_skewed_joins_are_split(star, settings, operator):
     assert "SortMergeJoin(skew=true)" in plan_of(df)
 
 
-def test_closing_join_of_triangles_is_split(spark, settings):
-    """In a wheel every edge of the rim is closed by the hub."""
-    n = 4000
-    settings(**SMALL_PARTS)
+def wheel(spark, n):
+    """A ring around a hub: every edge of the ring is closed by the hub."""
     rim = spark.range(1, n + 1)
     after = (F.col("id") % n + 1).alias("b")
     links = rim.select(F.col("id").alias("a"), F.explode(F.array(F.lit(0).cast("bigint"), after)).alias("b"))
-    df = clustering.triangle_count(symmetrize(links).repartition(16).checkpoint())
+    return symmetrize(links).repartition(16).checkpoint()
+
+
+def test_triangles_of_a_hub_are_split(spark, settings):
+    n = 30_000
+    settings(**SMALL_PARTS)
+    edges = wheel(spark, n)
+    colours = clustering.colours_for(2 * n, spark.sparkContext.defaultParallelism)
+    assert colours > 2 and n > 2 * n // colours
+    df = clustering.triangle_count(edges)
     assert df.collect()[0].triangles == n
     final = plan_of(df).split("Initial Plan")[0]
     assert "SortMergeJoin(skew=true)" in final and "Broadcast" not in final
 
 
+def test_colour_triples_share_the_edges_evenly(spark):
+    n, colours = 30_000, 6
+    ring = clustering.oriented(wheel(spark, n)).where("a <> 0 and b <> 0")
+    groups = clustering.colour_copies(ring, colours).groupBy("triple").count()
+    rows = [r["count"] for r in groups.collect()]
+    assert sum(rows) == colours * n and len(rows) == colours * (colours + 1) * (colours + 2) // 6
+    assert max(rows) < 1.2 * 6 * n / colours**2
+
+
+def test_colours_follow_the_edges():
+    assert clustering.colours_for(1_000, 8) == 1
+    assert clustering.colours_for(1_000_000, 8) == 4
+    for edges in (10**9, 10**11):
+        colours = clustering.colours_for(edges, 1_000)
+        assert 6 * edges / colours**2 <= clustering.EDGES_PER_TASK < 6 * edges / (colours - 2) ** 2
+
+
 def test_walks_neither_shuffle_edges_nor_broadcast_rows(spark):
     n = 10_000
     ids = spark.range(n)

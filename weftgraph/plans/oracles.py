@@ -249,6 +249,9 @@ ORACLES: dict[str, str] = {
     "stored_edge_order": f"""WITH {TRADE} SELECT {_bucket(16)} AS src_bucket, count(*) AS n_edges, 0::BIGINT AS out_of_order
         FROM e GROUP BY 1""",
     "append_absent_edges": f"WITH {TRADE} SELECT src, dst FROM e",
+    "append_filtered_edges": f"WITH {TRADE} SELECT src, dst FROM e",
+    "upsert_stored": """SELECT user_id, ts, event_id, event_type FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "edges_per_bucket_hash": f"WITH {TRADE} SELECT {_bucket(8)} AS src_bucket, count(*) AS n_edges FROM e GROUP BY 1",
     "results_json": f"WITH {TRADE} SELECT src, count(*) AS degree, TRUE AS stamped FROM e GROUP BY src",
     "triangles_of_a_hub": f"""WITH {HUBS}, {TRIANGLES} SELECT id, count(*) AS triangles
