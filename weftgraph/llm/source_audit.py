@@ -11,7 +11,7 @@ its counts, for terms of both sides by streaming the terms once more.
 from __future__ import annotations
 
 import heapq
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -23,8 +23,9 @@ from xxhash import xxh64_intdigest
 
 from weftgraph.llm.common import stored, utf8
 
-POSTINGS = 200_000  # postings of a block before it is spilled
-PAGE = 1_000  # terms of a page, at most
+BLOCK = 1_000_000  # terms in memory before their postings are spilled
+PAGE = 1_000  # different terms of a page, at most
+FLUSH = 20_000  # merged terms that are added up at once
 CHUNKS = 64  # parts of the histogram of one source
 TILE = 256  # sources along one side of a block of pair sums
 TILES = 64  # blocks of pair sums that a task holds
@@ -49,52 +50,85 @@ _PAGE = pa.schema(
         ("first", pa.binary()),
         ("terms", pa.list_(pa.binary())),
         ("docs", pa.list_(pa.int64())),
-        ("sources", pa.list_(pa.list_(pa.string()))),
-        ("counts", pa.list_(pa.list_(pa.int64()))),
+        ("ends", pa.list_(pa.int32())),
+        ("names", pa.list_(pa.string())),
+        ("sources", pa.list_(pa.int32())),
+        ("counts", pa.list_(pa.int64())),
     ]
 )
+# ``ends`` cuts ``sources`` (places in ``names``) and ``counts`` into the postings of each term.
 _PAGE_DDL = (
-    "shard int, lang string, first binary, terms array<binary>, docs array<long>, "
-    "sources array<array<string>>, counts array<array<long>>"
+    "shard int, lang string, first binary, terms array<binary>, docs array<long>, ends array<int>, "
+    "names array<string>, sources array<int>, counts array<long>"
 )
 
 
+class _Numbers(dict):
+    """Numbers for the terms of one language, given out from a list that all share."""
+
+    def __init__(self, lang: str, terms: list[tuple[str, bytes]]):
+        self.lang, self.terms = lang, terms
+
+    def __missing__(self, term: bytes) -> int:
+        number = self[term] = len(self.terms)
+        self.terms.append((self.lang, term))
+        return number
+
+
 class Block:
-    """Postings in memory: counts per (language, source), documents per language."""
+    """Texts in memory as numbers of their terms, with the source of each."""
 
     def __init__(self):
-        self.counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        self.docs: dict[str, Counter] = defaultdict(Counter)
+        self.terms: list[tuple[str, bytes]] = []
+        self.numbers: dict[str, _Numbers] = {}
+        self.sources: dict[str, int] = {}
+        self.texts: list[np.ndarray] = []
+        self.text_source: list[int] = []
         self.size = 0
 
     def add(self, lang: str, source: str, terms: list[bytes]) -> None:
-        held = self.counts[lang, source]
-        self.size -= len(held)
-        held.update(terms)
-        self.size += len(held)
-        self.docs[lang].update(set(terms))
+        known = self.numbers.get(lang)
+        if known is None:
+            known = self.numbers[lang] = _Numbers(lang, self.terms)
+        ids = np.fromiter(map(known.__getitem__, terms), np.int64, len(terms))
+        self.texts.append(ids)
+        self.text_source.append(self.sources.setdefault(source, len(self.sources)))
+        self.size += len(ids) + 1
 
     def pages(self, shards: int) -> Iterator[tuple]:
-        """The block as a run: per shard its terms in order, cut into pages."""
-        by_lang = defaultdict(list)
-        for lang, source in sorted(self.counts):
-            by_lang[lang].append(source)
-        for lang, sources in by_lang.items():
-            postings = defaultdict(list)
-            for source in sources:
-                for term, n in self.counts[lang, source].items():
-                    postings[term].append((source, n))
-            dealt = defaultdict(list)
-            for term in sorted(postings):
-                dealt[xxh64_intdigest(term) % shards].append(term)
-            for shard, terms in dealt.items():
-                for at in range(0, len(terms), PAGE):
-                    page = terms[at : at + PAGE]
-                    held = [postings[t] for t in page]
-                    yield (
-                        shard, lang, page[0], page, [self.docs[lang][t] for t in page],
-                        [[s for s, _ in p] for p in held], [[n for _, n in p] for p in held],
-                    )
+        """The block as a run: per shard and language its terms in order, cut into pages."""
+        if not self.terms:
+            return
+        ids = np.concatenate(self.texts)
+        lengths = [len(t) for t in self.texts]
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        once = np.sort(text * len(self.terms) + ids)
+        once = once[np.diff(once, prepend=-1) != 0]
+        docs = np.bincount(once % len(self.terms))
+        width = len(self.sources)
+        source = np.repeat(np.array(self.text_source, np.int64), lengths)
+        placed = np.sort(ids * width + source)
+        starts = np.flatnonzero(np.diff(placed, prepend=-1))
+        postings, counts = placed[starts], np.diff(np.append(starts, len(placed)))
+        begin = np.searchsorted(postings, np.arange(len(self.terms) + 1) * width)
+        source = postings % width
+        names = np.array([*self.sources], object)
+        dealt: dict[tuple[int, str], list[tuple[bytes, int]]] = defaultdict(list)
+        for number, (lang, term) in enumerate(self.terms):
+            dealt[xxh64_intdigest(term) % shards, lang].append((term, number))
+        for (at_shard, lang), held in dealt.items():
+            held.sort()
+            for at in range(0, len(held), PAGE):
+                terms = [term for term, _ in held[at : at + PAGE]]
+                page = np.array([number for _, number in held[at : at + PAGE]])
+                sizes = begin[page + 1] - begin[page]
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                where = np.repeat(begin[page] - ends[:-1], sizes) + np.arange(ends[-1])
+                used, places = np.unique(source[where], return_inverse=True)
+                yield (
+                    at_shard, lang, terms[0], terms, docs[page], ends.astype(np.int32),
+                    names[used].tolist(), places.astype(np.int32), counts[where],
+                )
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int) -> Iterator[pa.RecordBatch]:
@@ -112,19 +146,19 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int) -> Iterator[pa
         )
 
 
-def _runs(docs: DataFrame, shards: int, postings: int) -> DataFrame:
+def _runs(docs: DataFrame, shards: int, block_terms: int) -> DataFrame:
     def spilled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         block = Block()
         for batch in batches:
             lang, source, text = (batch.column(i) for i in range(3))
             for i in range(batch.num_rows):
                 block.add(lang[i].as_py(), source[i].as_py(), terms_of(text[i].as_py()))
-                if block.size >= postings:
+                if block.size >= block_terms:
                     yield from block.pages(shards)
                     block = Block()
         yield from block.pages(shards)
 
-    return docs.mapInArrow(lambda batches: _batches(spilled(batches), _PAGE, 16), _PAGE_DDL)
+    return docs.mapInArrow(lambda batches: _batches(spilled(batches), _PAGE, 64), _PAGE_DDL)
 
 
 # --- merge
@@ -144,60 +178,108 @@ _FREQUENCY_DDL = (
 )
 
 
-def _merged(pages: Iterator[dict]) -> Iterator[tuple[bytes, int, dict]]:
-    """``(term, documents, counts by source)`` in order, from pages ordered by first term.
+class _Page:
+    """A page of a run, with its sources in the numbers of the merging task."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int, known: dict[str, int]):
+        value = {name: batch.column(i)[row] for i, name in enumerate(batch.schema.names)}
+        self.shard, self.lang, self.first = (value[c].as_py() for c in ("shard", "lang", "first"))
+        self.terms = value["terms"].as_py()
+        self.docs, self.ends, self.counts, places = (
+            value[c].values.to_numpy() for c in ("docs", "ends", "counts", "sources")
+        )
+        codes = [known.setdefault(name, len(known)) for name in value["names"].as_py()]
+        self.sources = np.array(codes, np.int64)[places]
+
 
-    Only pages that overlap are open: a term is complete once it is below the first term
-    of the next page.
+def _merged(pages: Iterator[_Page]) -> Iterator[tuple[bytes, _Page, int]]:
+    """``(term, page, place in it)`` in the order of terms, from pages ordered by first term.
+
+    The next term of every open page is in a heap. A page is opened once no smaller term
+    is left, so only pages that overlap are open.
     """
     heap: list[tuple] = []
-    term, n_docs, counts = None, 0, Counter()
     number = 0
-
-    def smallest_until(limit: bytes | None):
-        nonlocal term, n_docs, counts
-        while heap and (limit is None or heap[0][0] < limit):
-            now, page_number, at, page = heap[0]
-            if now != term:
-                if term is not None:
-                    yield term, n_docs, counts
-                term, n_docs, counts = now, 0, Counter()
-            n_docs += page["docs"][at]
-            for source, n in zip(page["sources"][at], page["counts"][at]):
-                counts[source] += n
-            if at + 1 < len(page["terms"]):
-                heapq.heapreplace(heap, (page["terms"][at + 1], page_number, at + 1, page))
-            else:
-                heapq.heappop(heap)
-
-    for page in pages:
-        yield from smallest_until(page["first"])
-        heapq.heappush(heap, (page["first"], number, 0, page))
-        number += 1
-    yield from smallest_until(None)
-    if term is not None:
-        yield term, n_docs, counts
+    page = next(pages, None)
+    while heap or page is not None:
+        if page is not None and (not heap or page.first <= heap[0][0]):
+            heapq.heappush(heap, (page.first, number, 0, page))
+            number, page = number + 1, next(pages, None)
+            continue
+        term, n, at, held = heap[0]
+        yield term, held, at
+        if at + 1 < len(held.terms):
+            heapq.heapreplace(heap, (held.terms[at + 1], n, at + 1, held))
+        else:
+            heapq.heappop(heap)
+
+
+def _added_up(
+    lang: str, terms: list[bytes], entries: list[tuple[int, _Page, int]], names: dict[str, int], least: int
+) -> pa.RecordBatch:
+    """The frequencies of merged ``terms`` from ``(number of the term, page, place)`` entries."""
+    docs = np.zeros(len(terms), np.int64)
+    by_page: dict[int, tuple[_Page, list[int], list[int]]] = {}
+    for number, page, at in entries:
+        held = by_page.setdefault(id(page), (page, [], []))
+        held[1].append(number)
+        held[2].append(at)
+    keys, counts = [], []
+    for page, numbers, places in by_page.values():
+        number, at = np.array(numbers), np.array(places)
+        np.add.at(docs, number, page.docs[at])
+        sizes = page.ends[at + 1] - page.ends[at]
+        before = np.cumsum(sizes) - sizes
+        where = np.repeat(page.ends[at] - before, sizes) + np.arange(sizes.sum())
+        keys.append(np.repeat(number, sizes) * len(names) + page.sources[where])
+        counts.append(page.counts[where])
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    count = np.add.reduceat(count, starts)
+    number, source = key[starts] // len(names), key[starts] % len(names)
+    use = docs >= least
+    inside = use[number]
+    number, source, count = number[inside], source[inside], count[inside]
+    total = np.zeros(len(terms), np.int64)
+    np.add.at(total, number, count)
+    offsets = pa.array(np.append(0, np.cumsum(np.bincount(number, minlength=len(terms))[use])).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([lang] * int(use.sum()), pa.string()),
+            pa.array([t.decode() for t, u in zip(terms, use) if u], pa.string()),
+            pa.array(docs[use]),
+            pa.array(total[use]),
+            pa.ListArray.from_arrays(offsets, pa.array([*names], pa.string()).take(pa.array(source))),
+            pa.ListArray.from_arrays(offsets, pa.array(count)),
+        ],
+        schema=_FREQUENCY,
+    )
 
 
 def _frequencies(runs: DataFrame, shards: int, least_docs: int) -> DataFrame:
     """``(lang, term, n_docs, total, sources, counts)`` of terms in at least ``least_docs`` texts."""
 
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        pages = (row for batch in batches for row in batch.to_pylist())
-        for (_, lang), group in groupby(pages, lambda p: (p["shard"], p["lang"])):
-            for term, n_docs, counts in _merged(group):
-                if n_docs >= least_docs:
-                    names = sorted(counts)
-                    yield (
-                        lang, term.decode(), n_docs, sum(counts.values()), names,
-                        [counts[s] for s in names],
-                    )
-
-    order = ["shard", "lang", "first"]
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        pages = (_Page(batch, i, known) for batch in batches for i in range(batch.num_rows))
+        for (_, lang), group in groupby(pages, lambda p: (p.shard, p.lang)):
+            terms: list[bytes] = []
+            entries: list[tuple[int, _Page, int]] = []
+            for term, page, at in _merged(group):
+                if not terms or term != terms[-1]:
+                    if len(terms) == FLUSH:
+                        yield _added_up(lang, terms, entries, known, least_docs)
+                        terms, entries = [], []
+                    terms.append(term)
+                entries.append((len(terms) - 1, page, at))
+            yield _added_up(lang, terms, entries, known, least_docs)
+
     return (
         runs.repartition(shards, "shard")
-        .sortWithinPartitions(*order)
-        .mapInArrow(lambda batches: _batches(merged(batches), _FREQUENCY, 1_000), _FREQUENCY_DDL)
+        .sortWithinPartitions("shard", "lang", "first")
+        .mapInArrow(merged, _FREQUENCY_DDL)
     )
 
 
@@ -320,7 +402,7 @@ def source_divergence(
     lang_col: str = "lang",
     source_col: str = "source",
     text_col: str = "text",
-    postings: int = POSTINGS,
+    block_terms: int = BLOCK,
 ) -> DataFrame:
     """``(lang, source, part, item, value, rank)``: pairs of sources, and each source's own terms.
 
@@ -333,14 +415,14 @@ def source_divergence(
     Null texts, languages and sources count as empty ones, which are names like any other.
     A repeated row counts again. A source without kept terms has pairs only, a language of
     one source terms only; an empty table gives no rows. Other columns are not read.
-    Memory in a task is bounded by ``postings`` plus the longest text.
+    Memory in a task is bounded by ``block_terms`` plus the longest text.
     """
     named = docs.select(
         *[F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"))],
         utf8(text_col).alias("content"),
     )
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = stored(_runs(named, shards, postings), "runs")
+    runs = stored(_runs(named, shards, block_terms), "runs")
     terms = stored(_frequencies(runs, shards, least_docs), "term-frequencies")
     each = terms.select("lang", "term", "total", F.inline(F.arrays_zip("sources", "counts"))).toDF(
         "lang", "term", "total", "source", "count"
