@@ -18,6 +18,8 @@ from weftgraph.session import partitions_for, scratch_path
 WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BATCH = 1_000
+BYTES_PER_BATCH = 4_000_000
+REMEMBERED = 200_000  # words of at most 64 bytes whose hashes a task remembers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,34 +54,76 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+_AT_END: list[Callable[[], None]] = []
+
+
+def at_end_of_task(clear: Callable[[], None]) -> None:
+    """Has ``clear`` called at the end of every ``in_batches`` task of this worker."""
+    if clear not in _AT_END:
+        _AT_END.append(clear)
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most ``ROWS_PER_BATCH`` rows and, but for one row, ``BYTES_PER_BATCH``."""
+    at = 0
+    while at < batch.num_rows:
+        rows = min(ROWS_PER_BATCH, batch.num_rows - at)
+        while rows > 1 and _bytes(batch, at, rows) > BYTES_PER_BATCH:
+            rows = max(1, rows // 2)
+        yield batch.slice(at, rows)
+        at += rows
+
+
+def _bytes(batch: pa.RecordBatch, at: int, rows: int) -> int:
+    return sum(column.nbytes for column in batch.slice(at, rows).columns)
+
+
+def in_batches(
+    df: DataFrame,
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str | StructType,
+) -> DataFrame:
+    """``mapInArrow`` that leaves no memory behind: what a task remembered goes at its end.
+
+    Workers live on from task to task and from stage to stage, and so would their caches.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            for clear in _AT_END:
+                clear()
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
 def map_rows(
     df: DataFrame, function: Callable[[dict], list[tuple]], schema: str | StructType
 ) -> DataFrame:
     """Rows that ``function`` makes of each batch of columns, given as name to list.
 
-    Output goes back in batches of bounded size, so a batch that makes many rows
-    is never held as a whole in Arrow form.
+    Input and output are taken in parts of bounded size.
     """
     struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     kinds = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in struct.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            for start in range(0, batch.num_rows, ROWS_PER_BATCH):
-                part = {k: v.slice(start, ROWS_PER_BATCH).to_pylist() for k, v in columns.items()}
-                rows = function(part)
+            for part in slices(batch):
+                columns = {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
+                rows = function(columns)
                 if rows:
                     lists = list(zip(*rows))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(v, f.type) for v, f in zip(lists, kinds)], schema=kinds
                     )
 
-    return df.mapInArrow(run, struct)
+    return in_batches(df, run, struct)
 
 
 _MIX = [np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)]
-_REMEMBERED: dict[bytes, int] = {}
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -89,14 +133,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hash(word: bytes) -> int:
-    """A 64-bit hash; a worker remembers those of many words."""
-    at = _REMEMBERED.get(word)
-    if at is None:
-        at = xxhash.xxh64_intdigest(word)
-        if len(_REMEMBERED) < 500_000:
-            _REMEMBERED[word] = at
-    return at
+class _WordHashes(dict):
+    """64-bit hashes of words; those met first are remembered until the task ends."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = xxhash.xxh64_intdigest(word)
+        if len(self) < REMEMBERED and len(word) < 64:
+            self[word] = number
+        return number
+
+
+_HASHES = _WordHashes()
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    at_end_of_task(_HASHES.clear)
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
 def in_tasks(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:

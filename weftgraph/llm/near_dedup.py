@@ -7,11 +7,17 @@ are listed, which keeps boilerplate out of the lists. Pairs from a list pass an
 of their similarity on the sketch of their union, and then their full shingle sets are
 compared exactly.
 
-No list is ever expanded into all its pairs. Equal sets are one node from the start. A
-text with too many shingles of its own leaves the lists. In each round some members of a
-list, its pivots, are compared with those other members that are not yet in their component
-and whose size is in reach; then components are merged and the pivots leave the list. A
-list is done when its members are in one component or one of them is left.
+Texts that share listed values of their sketches go on to lists of their full sets. Shingles
+are ranked from rare to common among these texts; of two sets at the threshold with n shingles
+each, one is common to both among the n - ceil(threshold n) + 1 rarest of either, so only those
+are listed, and the places where it stands bound what can follow it. What a group of copies
+has in common thus makes no list.
+
+No list is ever expanded into all its pairs. Equal sets are one node from the start. In each
+round some members of a list, its pivots, are compared with those other members that are not
+yet in their component and that size and place leave in reach; then components are merged and
+the pivots leave the list. A list is done when its members are in one component or one of them
+is left.
 """
 
 from __future__ import annotations
@@ -20,16 +26,18 @@ from hashlib import blake2b
 from math import comb
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from weftgraph.llm.common import in_tasks, map_rows, mixed, stored, utf8, word_hash
+from weftgraph.llm.common import in_batches, in_tasks, map_rows, mixed, slices, stored, utf8, word_hashes
 from weftgraph.llm.components import components
 
 SKETCH = 48
-SHORT = 12  # lists of so many members are done in one round
 MISS = 1e-10  # accepted chance that a pair at the threshold shares too few values
 
+
 def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
@@ -47,7 +55,7 @@ def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
         return np.empty(0, np.int64)
     used = min(width, len(words))
     factors = mixed(np.arange(1, used + 1, dtype=np.uint64) + np.uint64(used << 32)) | np.uint64(1)
-    hashes = np.fromiter(map(word_hash, words), np.uint64, len(words))
+    hashes = word_hashes(words)
     size = len(words) - used + 1
     total = np.zeros(size, np.uint64)
     for i in range(used):
@@ -78,83 +86,94 @@ def _prefix_length(n: Column, percent: int, k: int) -> Column:
     return (F.least(n, F.lit(k)) - needed + 1).cast("int")
 
 
-def _sketched(docs: DataFrame, width: int, k: int, id_type: str) -> DataFrame:
-    def sketch(batch: dict) -> list[tuple]:
-        rows = []
-        for i, text in zip(batch["id"], batch["text"]):
-            hashes = shingle_hashes(words_of(text), width)
-            digest = np.frombuffer(blake2b(hashes.tobytes(), digest_size=16).digest(), np.int64)
-            rows.append((i, len(hashes), int(digest[0]), int(digest[1]), hashes[:k].tolist()))
-        return rows
-
-    return map_rows(
-        docs.select("id", utf8("text").alias("text")),
-        sketch,
-        f"id {id_type}, n_shingles long, d1 long, d2 long, sketch array<long>",
-    )
-
-
-def _lists(nodes: DataFrame, percent: int, k: int) -> DataFrame:
-    """``(value, node, n, weight)``: the listed values of each node.
+def _hashed(rows: DataFrame, width: int, k: int | None) -> DataFrame:
+    """``(id, n, d1, d2, hashes)`` of ``rows`` (id, text): a digest of the shingle set and its hashes.
 
-    Values are listed rarest first. ``weight`` adds up how common all retained values of a
-    node are; among copies of one text it is highest for the least altered one.
+    Only the ``k`` smallest hashes are returned if ``k`` is given.
     """
-    held = nodes.select("node", "n", F.explode("sketch").alias("value"))
+    id_type = rows.schema["id"].dataType
+    kind = to_arrow_type(id_type)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                sizes, digests, held = [], [], []
+                for text in part.column(1):
+                    hashes = shingle_hashes(words_of(text.as_py()), width)
+                    sizes.append(len(hashes))
+                    digests.append(blake2b(hashes.tobytes(), digest_size=16).digest())
+                    held.append(hashes[:k])
+                offsets = np.cumsum([0, *map(len, held)]).astype(np.int32)
+                halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).cast(kind),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(halves[:, 0].copy()),
+                        pa.array(halves[:, 1].copy()),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(held))),
+                    ],
+                    ["id", "n", "d1", "d2", "hashes"],
+                )
+
+    schema = f"id {id_type.simpleString()}, n long, d1 long, d2 long, hashes array<long>"
+    return in_batches(rows.select("id", "text"), run, schema)
+
+
+def _sketched(docs: DataFrame, width: int, k: int) -> DataFrame:
+    found = _hashed(docs.select("id", utf8("text").alias("text")), width, k)
+    return found.withColumnsRenamed({"n": "n_shingles", "hashes": "sketch"})
+
+
+def _sharing(nodes: DataFrame, percent: int, k: int) -> DataFrame:
+    """The nodes that share a listed value of their sketch; the rarest values are listed."""
+    held = nodes.select("node", "d1", "n", F.explode("sketch").alias("value"))
     common = stored(
         held.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "common-values"
     )
     shared = F.sort_array(F.collect_list(F.struct("df", "value")))
     alone = F.least("n", F.lit(k)) - F.size("values")
-    return (
+    listed = stored(
         held.join(common, "value")
-        .groupBy("node", "n")
-        .agg(shared.alias("values"), F.sum("df").alias("weight"))
+        .groupBy("node", "d1", "n")
+        .agg(shared.alias("values"))
         .withColumn("listed", F.greatest(F.lit(0), _prefix_length(F.col("n"), percent, k) - alone))
-        .select(
-            "node", "n", "weight", F.explode(F.slice("values", F.lit(1), F.col("listed").cast("int"))).alias("v")
-        )
-        .select(F.col("v.value").alias("value"), "node", "n", "weight")
+        .select("node", F.explode(F.slice("values", F.lit(1), F.col("listed").cast("int"))).alias("v"))
+        .select(F.col("v.value").alias("value"), "node"),
+        "listed-values",
     )
-
-
-def _unshared(texts: DataFrame, width: int, id_type: str) -> DataFrame:
-    """``(node, unshared)``: shingles of a listed text that no other listed text has."""
-
-    def hashed(batch: dict) -> list[tuple]:
-        return [
-            (node, shingle_hashes(words_of(text), width).tolist())
-            for node, text in zip(batch["node"], batch["text"])
-        ]
-
-    held = map_rows(texts, hashed, f"node {id_type}, hashes array<long>")
-    single = (
-        held.select("node", F.explode("hashes").alias("hash"))
-        .groupBy("hash")
-        .agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
-        .where("df = 1")
-        .groupBy("node")
-        .agg(F.count(F.lit(1)).alias("unshared"))
+    several = (
+        listed.groupBy("value")
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        .where("low <> high")
     )
-    # An id with several texts stands for all of them, so nothing is known of each.
-    once = texts.groupBy("node").agg(F.count(F.lit(1)).alias("texts")).where("texts = 1")
-    return single.join(once.select("node"), "node")
+    return listed.join(several.select("value"), "value").select("node").distinct()
 
 
-def _reaching(lists: DataFrame, unshared: DataFrame, percent: int) -> DataFrame:
-    """``lists`` with ``most``, the shingles that a partner can have at most.
+def _lists(texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """``(value, node, n, place, weight)``: the listed shingles of each text.
 
-    What no other text has is not in an intersection, so i <= n - unshared, and
-    100 i >= percent (n + partner - i) bounds the partner. Members that not even a partner of
-    the least size could match leave the lists.
+    Shingles are placed from rare to common among ``texts``, those of one text only first.
+    ``weight`` adds up how common the shingles of a text are; among copies of one text it is
+    highest for the least altered one.
     """
-    shared = F.col("n") - F.coalesce("unshared", F.lit(0).cast("long"))
-    most = F.floor(shared * (100 + percent) / percent) - F.col("n")
+    hashed = _hashed(texts.withColumnRenamed("node", "id"), width, None)
+    held = stored(hashed.withColumnRenamed("id", "node"), "shingles")
+    each = held.select("node", "d1", "n", F.explode("hashes").alias("value"))
+    common = stored(
+        each.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "common-shingles"
+    )
+    shared = F.sort_array(F.collect_list(F.struct("df", "value")))
+    alone = (F.col("n") - F.size("values")).cast("int")
+    prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
     return (
-        lists.join(unshared, "node", "left")
-        .withColumn("most", most.cast("long"))
-        .where(f"100 * most >= {percent} * n")
-        .drop("unshared")
+        each.join(common, "value")
+        .groupBy("node", "d1", "n")
+        .agg(shared.alias("values"), F.sum("df").alias("weight"))
+        .withColumn("alone", alone)
+        .withColumn("listed", F.slice("values", F.lit(1), F.greatest(F.lit(0), prefix - alone)))
+        .select("node", "n", "weight", "alone", F.posexplode("listed").alias("at", "v"))
+        .select(F.col("v.value").alias("value"), "node", "n", (F.col("alone") + F.col("at") + 1).alias("place"), "weight")
     )
 
 
@@ -174,23 +193,21 @@ def _open(lists: DataFrame) -> DataFrame:
 
 
 def _pivots(lists: DataFrame, open_lists: DataFrame, round_number: int) -> DataFrame:
-    """``(value, pivot, pivot_n, pivot_most, pivot_component)``: members to compare with the others.
+    """``(value, pivot, pivot_n, pivot_place, pivot_component)``: members to compare with the others.
 
-    First every member of a short list, and of others the one with the highest weight;
-    later up to 8, 64, 512 ... members outside the largest component, dealt by hash, so
-    that any list is done after few rounds.
+    First the member of a list with the highest weight; later up to 8, 64, 512 ... members
+    outside the largest component, dealt by hash, so that any list is done after few rounds.
     """
     member = F.struct(
         F.col("weight"),
         F.col("node").alias("pivot"),
         F.col("n").alias("pivot_n"),
-        F.col("most").alias("pivot_most"),
+        F.col("place").alias("pivot_place"),
         F.col("component").alias("pivot_component"),
     )
     here = lists.join(open_lists, "value")
     if round_number == 0:
-        slot = F.when(F.col("members") <= SHORT, F.xxhash64("node")).otherwise(F.lit(0))
-        chosen = here.groupBy("value", slot.alias("slot")).agg(F.max(member).alias("p"))
+        chosen = here.groupBy("value").agg(F.max(member).alias("p"))
     else:
         slot = F.pmod(F.xxhash64("node", F.lit(round_number)), F.lit(8**round_number))
         chosen = (
@@ -198,7 +215,7 @@ def _pivots(lists: DataFrame, open_lists: DataFrame, round_number: int) -> DataF
             .groupBy("value", slot.alias("slot"))
             .agg(F.max(member).alias("p"))
         )
-    return chosen.select("value", "p.pivot", "p.pivot_n", "p.pivot_most", "p.pivot_component")
+    return chosen.select("value", "p.pivot", "p.pivot_n", "p.pivot_place", "p.pivot_component")
 
 
 def _likely(pairs: DataFrame, sketches: DataFrame, percent: int, k: int, id_type: str) -> DataFrame:
@@ -253,14 +270,14 @@ def _round(
     near = F.expr(
         f"lists.value = pivots.value and component <> pivot_component "
         f"and 100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n) "
-        f"and n <= pivot_most and pivot_n <= most"
+        f"and {100 + percent} * (1 + least(n - place, pivot_n - pivot_place)) >= {percent} * (n + pivot_n)"
     )
     pairs = (
         lists.alias("lists").join(pivots.alias("pivots"), near)
         .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         .distinct()
     )
-    pairs = stored(in_tasks(pairs, rows), "pairs")
+    pairs = stored(in_tasks(pairs, rows * min(8**round_number, 64)), "pairs")
     likely = stored(_likely(pairs, sketches, percent, k, id_type), "likely")
     return stored(_verified(likely, texts, percent, width, id_type), "links"), pivots
 
@@ -286,7 +303,7 @@ def near_duplicates(
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sketched = stored(_sketched(named, width, k, id_type), "sketches")
+    sketched = stored(_sketched(named, width, k), "sketches")
     digest = ["d1", "d2"]
     classes = stored(
         sketched.where("id is not null and n_shingles > 0")
@@ -301,10 +318,7 @@ def near_duplicates(
         .dropDuplicates(["node", *digest]),
         "nodes",
     )
-    lists = stored(_lists(nodes, percent, k).withColumn("component", F.col("node")), "lists")
-    active = stored(
-        lists.join(_open(lists), "value").select("node").distinct(), "active"
-    )
+    active = stored(_sharing(nodes, percent, k), "active")
     texts = stored(
         named.withColumnRenamed("id", "node")
         .join(active, "node")
@@ -313,8 +327,7 @@ def near_duplicates(
         "texts",
     )
     sketches = stored(nodes.join(active, "node").select("node", "sketch"), "active-sketches")
-    unshared = stored(_unshared(texts, width, id_type), "unshared")
-    lists = stored(_reaching(lists, unshared, percent), "reaching")
+    lists = stored(_lists(texts, percent, width).withColumn("component", F.col("node")), "lists")
     found, round_number = None, 0
     while made := _round(lists, round_number, sketches, texts, percent, width, k, id_type):
         links, pivots = made

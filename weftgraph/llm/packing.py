@@ -19,11 +19,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import map_rows, stored, utf8
+from weftgraph.llm.common import at_end_of_task, map_rows, stored, utf8
 
 CAPACITY = 2048
 BLOCK = 60_000  # pieces packed by one task, about
-CHUNKS = 500_000  # tokenised chunks that a worker remembers
+CHUNKS = 200_000  # tokenised chunks of at most 64 characters that a task remembers
 
 # Fixed value: how byte-level BPE cuts a text before merging.
 PATTERN = (
@@ -51,7 +51,7 @@ class _Chunks(dict):
         if not chunk or chunk[0].isspace() or chunk[-1].isspace() or "<|" in chunk:
             raise _Irregular
         ids = self.encode(" " + chunk)
-        if len(self) < CHUNKS:
+        if len(self) < CHUNKS and len(chunk) < 64:
             self[chunk] = ids
         return ids
 
@@ -91,6 +91,7 @@ def tokenizer(path: str):
         return array("I", plain.encode_ordinary(text)).tobytes()
 
     chunks = _Chunks(encode)
+    at_end_of_task(chunks.clear)
 
     def ids(text: str) -> bytes:
         first, *rest = text.split(" ")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from weftgraph.llm.common import fresh, map_rows, mixed, stored, utf8, word_hash
+from weftgraph.llm.common import fresh, map_rows, mixed, stored, utf8, word_hashes
 
 WINDOW = 12  # a border falls in any so many neighbouring words
 MIN_WORDS = 20  # shorter runs of repeated units stay
@@ -43,7 +43,7 @@ def units(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndar
     n = len(words)
     if not n:
         return np.empty(0, int), np.empty(0, int), np.empty(0, np.int64)
-    hashes = np.fromiter(map(word_hash, words), np.uint64, n)
+    hashes = word_hashes(words)
     borders = [0, n]
     if n > window:
         pairs = mixed(hashes[:-1] * np.uint64(3) + hashes[1:])
