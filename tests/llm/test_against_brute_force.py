@@ -40,7 +40,7 @@ def test_matches_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES} == set(range(1, 14))
 
 
 # --- licenses
@@ -138,6 +138,23 @@ def test_smallest_capacity(docs, texts, shards):
     assert max(filled.values()) == want and len(rows) == len(texts)
 
 
+def test_no_shard_stays_empty_beside_a_large_group(spark):
+    rng = random.Random(8)
+    rows = [(i, f"own text {i} " + "x" * rng.randrange(120)) for i in range(700)]
+    rows += [(1_000 + i, "the same text again and again " * 4) for i in range(300)]
+    out = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), 16).collect()
+    filled: Counter = Counter()
+    for r in out:
+        filled[r.shard] += r.size
+    group = 300 * (len("the same text again and again ") * 4 + 1)
+    rest = sum(filled.values()) - group
+    assert len(filled) == 16 and max(filled.values()) < group + rest / 8
+    # The shard before the group ends where the group starts, however full it is.
+    assert min(filled.values()) > 0 and sorted(filled.values())[1] > 0.8 * rest / 16
+    few = spark.createDataFrame([(i, "a" * (1 + 30 * (i == 3))) for i in range(5)], "doc_id long, text string")
+    assert {r.shard for r in sharding.shard_documents(few, 16).collect()} <= set(range(16))
+
+
 def test_capacity_with_a_hot_group(spark):
     rng = random.Random(3)
     rows = [(rng.randrange(1 << 60), rng.randint(1, 400)) for _ in range(3000)] + [(77, 9)] * 30_000

@@ -172,14 +172,16 @@ def running_before(
 
     No task sees a whole group: rows are dealt to ranges of (group, order), each
     range is summed, the sums of the ranges are run up, and rows are numbered
-    inside their range only. Rows equal in group and order come in any order.
+    inside their range only. Rows equal in group and order come in any order, and as their
+    place in the stored frame tells them apart, in as many ranges as they need.
     ``group`` columns must not be null.
     """
     group = group or []
     ranged = stored(
-        df.repartitionByRange(sized(df), *group, *order).withColumn(
-            "slice", F.spark_partition_id()
-        ),
+        df.withColumn("stored_at", F.monotonically_increasing_id())
+        .repartitionByRange(sized(df), *group, *order, "stored_at")
+        .withColumn("slice", F.spark_partition_id())
+        .drop("stored_at"),
         "ranged",
     )
     up = Window.partitionBy(*group).orderBy("slice") if group else Window.orderBy("slice")

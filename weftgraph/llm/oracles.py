@@ -7,14 +7,17 @@ from weftgraph.llm.quality_rules import RULES, mask
 # Five best integer inner products by brute force.
 NEAREST = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  SELECT row_number() OVER () AS row_id, vec_id,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+  SELECT q.row_id AS query, q.vec_id AS query_id, c.row_id, c.vec_id,
+    list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.row_id <> c.row_id WHERE q.vec_id % 50 = 0
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id, row_id)::INTEGER AS rank
   FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
@@ -22,31 +25,35 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 PERSPECTIVES = """
 WITH t AS (
-  SELECT conv_id, turn, regexp_replace(role, '[<|>\\n]', '_', 'g') AS role, coalesce(text, '') AS body
+  SELECT row_number() OVER () AS row_id, conv_id, turn, role, coalesce(text, '') AS raw,
+    regexp_replace(coalesce(text, ''), '<(\\\\*)\\|', '<\\\\\\1|', 'g') AS body,
+    replace(replace(replace(role, chr(92), chr(92) || chr(92)), '|', chr(92) || '|'), chr(10), chr(92) || 'n') AS name
   FROM conversations
+), p AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, raw, row_id) - 1 AS place FROM t
 ), s AS (
   SELECT DISTINCT conv_id, role AS speaker FROM t
   WHERE role IS NOT NULL AND role NOT IN ('system', 'tool')
 ), seen AS (
-  SELECT t.conv_id, speaker, turn, role, body, role IS NOT DISTINCT FROM speaker AS mine,
+  SELECT p.conv_id, speaker, place, body, role IS NOT DISTINCT FROM speaker AS mine,
     CASE WHEN role IS NOT DISTINCT FROM speaker THEN '<|assistant|>' || chr(10)
          WHEN role IN ('system', 'tool') THEN '<|' || role || '|>' || chr(10)
          WHEN role IS NULL THEN '<|user|>' || chr(10)
-         ELSE '<|user name=' || role || '|>' || chr(10) END AS head,
+         ELSE '<|user name=' || name || '|>' || chr(10) END AS head,
     '<|end|>' || chr(10) AS tail
-  FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+  FROM p JOIN s ON p.conv_id IS NOT DISTINCT FROM s.conv_id
 ), placed AS (
   SELECT *, head || body || tail AS piece,
     sum(length(head || body || tail)) OVER (
-      PARTITION BY conv_id, speaker ORDER BY turn NULLS FIRST, role NULLS FIRST, body
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - length(body || tail) AS start
+      PARTITION BY conv_id, speaker ORDER BY place ROWS UNBOUNDED PRECEDING) - length(body || tail) AS start
   FROM seen
 )
-SELECT conv_id, speaker, 0 AS part, count(*)::INTEGER AS n_turns,
-  string_agg(piece, '' ORDER BY turn NULLS FIRST, role NULLS FIRST, body) AS text,
+SELECT conv_id, speaker, (place // 256)::INTEGER AS part, count(*)::INTEGER AS n_turns,
+  min(start - length(head))::BIGINT AS text_start, string_agg(piece, '' ORDER BY place) AS text,
   coalesce(string_agg(start::BIGINT || ':' || length(body || tail), ',' ORDER BY start)
     FILTER (WHERE mine), '') AS mask
-FROM placed GROUP BY conv_id, speaker
+FROM placed GROUP BY conv_id, speaker, place // 256
 """
 
 # Exact similarity of all pairs that share a shingle, then reachability.

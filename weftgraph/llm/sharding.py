@@ -3,7 +3,8 @@
 Equal texts form an atomic group. Groups are ordered by a hash of the text; a shard
 is a run of groups. The smallest feasible capacity is found by binary search: a
 capacity is feasible if filling shards greedily, group after group, needs no more
-shards than asked for.
+shards than asked for. The cuts then fall where what is left would be shared out evenly,
+as far as the capacity allows, so no shard stays empty for the sake of the largest one.
 
 The driver never holds a row per group. It sees the order as segments (ranges of the
 hash, with their total size). A segment of one group is atomic; one of several is only
@@ -14,7 +15,7 @@ finer, until both capacities are equal, and then the cuts are exact.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
@@ -49,6 +50,50 @@ class _Order:
             cuts.append(at := to)
         return cuts
 
+    def even_cuts(self, capacity: int, shards: int) -> tuple[list[int], list[int]]:
+        """Bytes before each cut, and the segments that must be cut finer to be sure of them.
+
+        Each shard ends as near as it can to an even share of what is left, but not above the
+        capacity and not so early that the rest would not fit.
+        """
+        unsure: set[int] = set()
+        # latest[m]: the first place from which m shards can hold the rest.
+        latest = [self.total]
+        for _ in range(shards - 1):
+            k = bisect_left(self.ends, latest[-1] - capacity)
+            start = self.ends[k - 1] if k else 0
+            if latest[-1] - capacity <= start:
+                latest.append(start)
+                continue
+            if not self.segments[k][3] and latest[-1] - capacity < self.ends[k]:
+                unsure.add(k)
+            latest.append(self.ends[k])
+        at, cuts = 0, []
+        for left in range(shards - 1, 0, -1):
+            if at >= self.total:
+                break
+            low, high = latest[left], at + capacity
+            wanted = max(low, min(high, at + self._share(at, left + 1)))
+            k = min(bisect_right(self.ends, wanted), len(self.ends) - 1)
+            before = self.ends[k - 1] if k else 0
+            if before < wanted < self.ends[k] and not self.segments[k][3]:
+                unsure.add(k)
+            near = [b for b in (before, self.ends[k]) if at < b and low <= b <= high]
+            if not near:
+                break
+            at = min(near, key=lambda b: (abs(b - wanted), b))
+            if at < self.total:
+                cuts.append(at)
+        return cuts, sorted(unsure)
+
+    def _share(self, at: int, shards: int) -> int:
+        """An even share of what follows, where groups above it have a shard to themselves."""
+        sizes = sorted(s[2] for s, end in zip(self.segments, self.ends) if end > at and s[3])
+        rest = self.total - at
+        while sizes and shards > 1 and sizes[-1] * shards > rest:
+            rest, shards = rest - sizes.pop(), shards - 1
+        return max(1, -(-rest // shards))
+
     def smallest(self, low: int, high: int, shards: int, divisible: bool) -> int:
         while low < high:
             middle = (low + high) // 2
@@ -130,32 +175,38 @@ def cut_hashes(rows: DataFrame, shards: int) -> tuple[list[int], int]:
     if not order.segments:
         return [], 0
     while True:
-        largest = max(s[2] for s in order.segments if s[3]) if any(
-            s[3] for s in order.segments
-        ) else 0
+        largest = max((s[2] for s in order.segments if s[3]), default=0)
         low = order.smallest(max(largest, -(-order.total // shards)), order.total, shards, True)
         high = order.smallest(low, order.total, shards, False)
         todo = order.unsure(low, high, shards) if low < high else []
         if not todo:
             break
-        asked = [(order.segments[k][0], order.segments[k][1]) for k in todo]
-        finer: dict[int, list] = {}
-        for i, a, b, size in _segments(rows, asked, max(2, (1 << STEP_BITS) // len(todo))):
-            finer.setdefault(todo[i], []).append((a, b, size, a == b))
-        order = _Order([s for k, old in enumerate(order.segments) for s in finer.get(k, [old])])
-    cuts = order.cuts(high, shards, False)
+        order = _finer(rows, order, todo)
+    cuts, todo = order.even_cuts(high, shards)
+    while todo:
+        order = _finer(rows, order, todo)
+        cuts, todo = order.even_cuts(high, shards)
     starts = dict(zip([0, *order.ends], [s[0] for s in order.segments]))
     return [starts[c] for c in cuts], high
 
 
+def _finer(rows: DataFrame, order: _Order, todo: list[int]) -> _Order:
+    """The order with the segments ``todo`` in parts."""
+    asked = [(order.segments[k][0], order.segments[k][1]) for k in todo]
+    finer: dict[int, list] = {}
+    for i, a, b, size in _segments(rows, asked, max(2, (1 << STEP_BITS) // len(todo))):
+        finer.setdefault(todo[i], []).append((a, b, size, a == b))
+    return _Order([s for k, old in enumerate(order.segments) for s in finer.get(k, [old])])
+
+
 def shard_documents(
     docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``(id, size, text_crc32, hash, shard, slot)`` per document.
 
     ``size`` is the UTF-8 length plus 1, a null text counting as an empty one. Equal texts
-    share a shard; shards are runs of the hash order, so their sizes are as near equal as
-    the largest group allows. Slots count from 0 in each shard, by hash and then id; rows
+    share a shard; shards are runs of the hash order, the largest as small as it can be and
+    the others near an even share of the rest. Slots count from 0 in each shard, by hash and then id; rows
     equal in both take neighbouring slots in any order. Fewer groups than shards leave
     shards empty; an empty table gives no rows.
     """

@@ -29,9 +29,9 @@ def integer_vectors(
 ) -> DataFrame:
     """``(id, v)`` with floor(scale * x) per component, x as double.
 
-    Vectors that are null, empty or hold a null or non-finite component take no part,
-    nor do null ids. Of rows that share an id one takes part, the lowest vector. A component
-    or score beyond 64 bits raises Spark's overflow error.
+    Vectors that are null or hold a null or non-finite component take no part, nor do null
+    ids. An empty vector takes part as zeros, and every row does, also those that share an
+    id. A component or score beyond 64 bits raises Spark's overflow error.
     """
     x = F.col(vector_col).cast("array<double>")
     usable = F.forall(
@@ -39,13 +39,11 @@ def integer_vectors(
     )
     return (
         vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull())
-        .where((F.size(vector_col) > 0) & usable)
+        .where(usable)
         .select(
             F.col(id_col).alias("id"),
             F.transform(x, lambda c: F.floor(c * scale)).alias("v"),
         )
-        .groupBy("id")
-        .agg(F.min("v").alias("v"))
     )
 
 
@@ -70,15 +68,15 @@ def _padded(vectors, dims: int) -> np.ndarray:
     return out
 
 
-def _cells(vectors: DataFrame, low: np.ndarray, width: np.ndarray, id_type: str) -> DataFrame:
-    """``(id, cells)``: the approximation file, a byte per component."""
+def _cells(vectors: DataFrame, low: np.ndarray, width: np.ndarray) -> DataFrame:
+    """``(row, cells)``: the approximation file, a byte per component."""
 
     def packed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             cells = ((_padded(part["v"], len(low)) - low) // width).astype(np.uint8)
-            yield pd.DataFrame({"id": part["id"], "cells": [c.tobytes() for c in cells]})
+            yield pd.DataFrame({"row": part["row"], "cells": [c.tobytes() for c in cells]})
 
-    return vectors.mapInPandas(packed, f"id {id_type}, cells binary")
+    return vectors.mapInPandas(packed, "row long, cells binary")
 
 
 def _scan(
@@ -90,15 +88,15 @@ def _scan(
     So the score of the low corner is off by at most the sum of the query's positive (up)
     or negative (down) components times that. ``slack`` covers the rounding of floats.
     """
-    ids = cells["id"].to_numpy()
-    corners = np.frombuffer(b"".join(cells["cells"]), np.uint8).reshape(len(cells), -1)
+    ids = cells["row"].to_numpy()
+    corners = np.frombuffer(b"".join(cells["cells"]), np.uint8).reshape(len(cells), len(low))
     corners = (corners * width + low).astype(float)
     most = np.abs(corners).max(initial=0)
     found = []
     for start in range(0, len(queries), STEP):
         part = queries.iloc[start : start + STEP]
         q = _padded(part["v"], len(low)).astype(float)
-        own = part["id"].to_numpy()
+        own = part["row"].to_numpy()
         score = q @ corners.T
         slack = np.floor(np.abs(q).sum(1) * most * 2.0**-49)
         down = np.minimum(q, 0) @ (width - 1) - slack
@@ -114,8 +112,8 @@ def _scan(
         found.append(
             pd.DataFrame(
                 {
-                    "query_id": own[rows],
-                    "id": ids[columns],
+                    "query": own[rows],
+                    "row": ids[columns],
                     "lower": (score[rows, columns] + down[rows]).astype(np.int64),
                     "upper": (score[rows, columns] + up[rows]).astype(np.int64),
                 }
@@ -129,7 +127,7 @@ def _blocks(n: int, size: int) -> int:
 
 
 def _candidates(
-    queries: DataFrame, cells: DataFrame, low: np.ndarray, width: np.ndarray, k: int, id_type: str
+    queries: DataFrame, cells: DataFrame, low: np.ndarray, width: np.ndarray, k: int
 ) -> DataFrame:
     """Candidates of all queries, block by block.
 
@@ -138,39 +136,42 @@ def _candidates(
     """
     q_blocks = _blocks(queries.count(), QUERY_BLOCK)
     c_blocks = _blocks(cells.count(), VECTOR_BLOCK)
-    key = F.xxhash64("id")
+    key = F.xxhash64("row")
     q = queries.withColumn("qb", F.pmod(key, F.lit(q_blocks)).cast("int")).withColumn(
         "cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1)))
     )
     c = cells.withColumn("cb", F.pmod(key, F.lit(c_blocks)).cast("int")).withColumn(
         "qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))
     )
-    schema = f"query_id {id_type}, id {id_type}, lower long, upper long"
+    schema = "query long, row long, lower long, upper long"
 
     def scan(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({n: [] for n in ("query_id", "id", "lower", "upper")})
+            return pd.DataFrame({n: [] for n in ("query", "row", "lower", "upper")})
         return _scan(left, right, low, width, k)
 
     return q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(scan, schema)
 
 
 def _top(rows: DataFrame, k: int, *order: Column) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
+    place = F.row_number().over(Window.partitionBy("query").orderBy(*order))
     return rows.withColumn("rank", place).where(F.col("rank") <= k)
 
 
 def _exact(pairs: DataFrame, queries: DataFrame, vectors: DataFrame) -> DataFrame:
-    """``(query_id, id, score)`` from the exact vectors of the pairs."""
+    """``(query, query_id, row, id, score)`` from the exact vectors of the pairs."""
     product = F.aggregate(
         F.zip_with("q", "v", lambda a, b: F.coalesce(a * b, F.lit(0).cast("long"))),
         F.lit(0).cast("long"),
         lambda total, x: total + x,
     )
+    asked = queries.select(
+        F.col("row").alias("query"), F.col("id").alias("query_id"), F.col("v").alias("q")
+    )
     return (
-        pairs.join(vectors, "id")
-        .join(queries.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id")
-        .select("query_id", "id", product.alias("score"))
+        pairs.join(vectors, "row")
+        .join(asked, "query")
+        .select("query", "query_id", "row", "id", product.alias("score"))
     )
 
 
@@ -178,53 +179,55 @@ def top_k(vectors: DataFrame, is_query: Column | str, k: int = 5) -> DataFrame:
     """``(query_id, rank, id, score)``: the ``k`` highest inner products of each query.
 
     ``vectors`` is ``(id, v)`` as ``integer_vectors`` gives them; ``is_query`` is a condition
-    on ``id``. A query does not meet itself; ties go to the smaller id; with fewer other
-    vectors than ``k`` all are returned. Vectors of different lengths meet as if the
-    shorter were filled with zeros.
+    on ``id``. Every row is a vector of its own: a query row does not meet itself, but other
+    rows of its id, and query rows that share an id have a list each. Ties go to the smaller
+    id; with fewer other vectors than ``k`` all are returned. Vectors of different lengths
+    meet as if the shorter were filled with zeros.
 
     Equal vectors tie in every score, so the cells hold the ``k + 1`` lowest ids of each
     distinct vector only: no other copy can be among the ``k`` best of any query, itself
     left out.
     """
-    id_type = vectors.schema["id"].dataType.simpleString()
-    vectors = stored(vectors, "vectors")
+    # Rows are numbered as they are stored, so the numbers stay the same.
+    vectors = stored(vectors, "vectors").withColumn("row", F.monotonically_increasing_id())
+    vectors = stored(vectors, "numbered")
     queries = stored(vectors.where(is_query), "queries")
     if queries.isEmpty():
         return vectors.select(
             F.col("id").alias("query_id"), F.lit(0).alias("rank"), "id", F.lit(0).cast("long").alias("score")
         ).limit(0)
     low, width = _cell_bounds(vectors)
-    copy = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    copy = F.row_number().over(Window.partitionBy("v").orderBy("id", "row"))
     distinct = stored(
         vectors.withColumn("copy", copy).where(F.col("copy") <= k + 1).drop("copy"), "distinct"
     )
-    cells = stored(_cells(distinct, low, width, id_type), "cells")
-    found = stored(_candidates(queries, cells, low, width, k, id_type), "candidates")
+    cells = stored(_cells(distinct.select("row", "v"), low, width), "cells")
+    asked = queries.select("row", "v")
+    found = stored(_candidates(asked, cells, low, width, k), "candidates")
     # The k-th best lower bound over all blocks: what is bounded below it is out.
     floor = (
-        _top(found, k, F.desc("lower"), F.asc("id"))
-        .groupBy("query_id")
+        _top(found, k, F.desc("lower"), F.asc("row"))
+        .groupBy("query")
         .agg(F.min("lower").alias("floor"), F.count(F.lit(1)).alias("n"))
-        .select("query_id", F.when(F.col("n") >= k, F.col("floor")).alias("floor"))
+        .select("query", F.when(F.col("n") >= k, F.col("floor")).alias("floor"))
     )
     left = stored(
-        found.join(floor, "query_id").where("floor is null or upper >= floor"), "survivors"
+        found.join(floor, "query").where("floor is null or upper >= floor"), "survivors"
     )
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("upper"), F.asc("id")))
+    best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("upper"), F.asc("row")))
     ordered = stored(left.withColumn("place", best), "ordered")
     first = stored(_exact(ordered.where(F.col("place") <= 2 * k), queries, distinct), "first-wave")
+    in_order = [F.desc("score"), F.asc("id"), F.asc("row")]
     certain = (
-        _top(first, k, F.desc("score"), F.asc("id"))
-        .groupBy("query_id")
+        _top(first, k, *in_order)
+        .groupBy("query")
         .agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n"))
-        .select("query_id", F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
+        .select("query", F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
     )
     more = (
         ordered.where(F.col("place") > 2 * k)
-        .join(certain, "query_id")
+        .join(certain, "query")
         .where("kth is null or upper >= kth")
     )
     second = _exact(more, queries, distinct)
-    return _top(first.unionByName(second), k, F.desc("score"), F.asc("id")).select(
-        "query_id", "rank", "id", "score"
-    )
+    return _top(first.unionByName(second), k, *in_order).select("query_id", "rank", "id", "score")
