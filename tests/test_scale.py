@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.operators import clustering, mixing, pagerank, paths, results
 from weftgraph.operators.edges import adjacency_list, edges_orphan, edges_valid, symmetrize
+from weftgraph.operators.blocks import BlockLayout
 from weftgraph.operators.layout import HOT_SHARE, EdgeLayout, walking
 from weftgraph.session import checkpoint_dir
 
@@ -150,6 +151,39 @@ def test_colours_follow_the_edges():
         assert 6 * edges / colours**2 <= clustering.EDGES_PER_TASK < 6 * edges / (colours - 2) ** 2
 
 
+def test_a_rank_step_ships_two_root_p_values_per_vertex(spark):
+    n, partitions = 400, 16
+    ids = spark.range(n).select(F.col("id").alias("a"))
+    pairs = ids.join(spark.range(n).select(F.col("id").alias("b")), F.col("a") < F.col("b"))
+    laid = BlockLayout.build(symmetrize(pairs).checkpoint(), partitions)
+    try:
+        assert (laid.rows, laid.columns) == (4, 4)
+        ones = spark.range(n).select(F.col("id").alias("node"), F.lit(1.0).alias("value"))
+        assert laid.shipped(ones).count() == n * laid.columns
+        assert laid.partial_sums(ones).count() <= n * laid.rows
+        assert {r.value for r in laid.incoming(ones).collect()} == {n - 1.0}
+        spread = laid.edges.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()
+        assert spread[0] == partitions and spread[1] < 1.5 * n * (n - 1) / partitions
+        plan = plan_of(laid.incoming(ones))
+        # Values to blocks and sums to vertices; the edges stay where they are.
+        assert plan[: plan.index("InMemoryRelation")].count("Exchange hashpartitioning") <= 2
+    finally:
+        laid.release()
+
+
+def test_blocks_split_the_edges_of_a_hub(star):
+    laid = BlockLayout.build(star[1], 16)
+    try:
+        assert laid.hot.count() == 1
+        sizes = laid.edges.groupBy("block").count().agg(F.count("*"), F.max("count")).first()
+        assert sizes[0] == 16 and sizes[1] < 1.5 * 2 * LEAVES / 16
+        ones = star[0].select(F.col("id").alias("node"), F.lit(1.0).alias("value"))
+        sums = {r.node: r.value for r in laid.incoming(ones).where("node < 2").collect()}
+        assert sums == {0: float(LEAVES), 1: 1.0}
+    finally:
+        laid.release()
+
+
 def test_walks_neither_shuffle_edges_nor_broadcast_rows(spark):
     n = 10_000
     ids = spark.range(n)
