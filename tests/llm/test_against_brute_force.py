@@ -290,6 +290,49 @@ def test_repeated_passages_go(spark):
     assert all(len(found) == 1 for found in windows.values())
 
 
+def test_repeated_lines_of_any_length_go(spark):
+    """Lines of 5 to 60 words, some of them again in other documents and beside other lines."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" if i % 3 else f"Wé{i}" for i in range(4000)]
+
+    def line(n):
+        return " ".join(rng.choice(vocabulary) for _ in range(n))
+
+    shared = [line(n) for n in range(5, 61, 5)] + ["one two three four"]
+    rows = []
+    for d in range(40):
+        lines = [line(rng.randint(5, 60)) for _ in range(8)]
+        for _ in range(3):
+            again = rng.choice(shared)
+            lines.insert(rng.randrange(len(lines)), again if d % 2 else f"  {again.replace(' ', '   ').upper()} ")
+        rows.append((d, "\n".join(lines)))
+    found = {r.doc_id: r for r in substring_dedup.remove_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    seen: dict = {}
+    for d, text in rows:
+        at, want, kept = 0, [], ""
+        for part in text.splitlines(keepends=True):
+            key = tuple(part.encode().lower().split())
+            if len(key) >= substring_dedup.LINE_WORDS and key in seen:
+                if want and want[-1][0] + want[-1][1] == at:
+                    want[-1] = (want[-1][0], want[-1][1] + len(part))
+                else:
+                    want.append((at, len(part)))
+            else:
+                seen[key] = d
+                kept += part
+            at += len(part)
+        assert [tuple(s) for s in found[d].removed] == want and found[d].text == kept
+
+
+def test_equal_texts_of_two_ids_leave_one(spark):
+    text = "a b c d e f\n" + " ".join(f"q{i}" for i in range(90)) + "\nlast line\n"
+    rows = [(4, text), (9, text), (None, text), (9, text)]
+    found = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in found) == sorted(
+        [("4", text), ("9", ""), ("9", ""), ("None", "")])
+
+
 # --- packing
 
 

@@ -136,19 +136,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class _WordHashes(dict):
     """64-bit hashes of words; those met first are remembered until the task ends."""
 
+    def __init__(self, seed: int):
+        super().__init__()
+        self.seed = seed
+
     def __missing__(self, word: bytes) -> int:
-        number = xxhash.xxh64_intdigest(word)
+        number = xxhash.xxh64_intdigest(word, self.seed)
         if len(self) < REMEMBERED and len(word) < 64:
             self[word] = number
         return number
 
 
-_HASHES = _WordHashes()
+_HASHES = [_WordHashes(0), _WordHashes(1)]
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    at_end_of_task(_HASHES.clear)
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
+    """The hash of each word; the two seeds give independent ones."""
+    at_end_of_task(_HASHES[seed].clear)
+    return np.fromiter(map(_HASHES[seed].__getitem__, words), np.uint64, len(words))
 
 
 def in_tasks(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:

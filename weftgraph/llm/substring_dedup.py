@@ -1,183 +1,280 @@
-"""Removal of passages that other documents, or the same one, have had before.
-
-Lines alone would miss a passage inside a longer line, so lines are cut further into
-units whose borders depend on the words around them only: the same passage is cut in
-the same places wherever it stands. Units are normalised (ASCII lower case, white space
-collapsed) and hashed. Digests are grouped globally, the occurrence in the document of
-the lowest id stays, and all later ones are removed, if together with their neighbours
-they make a run of enough words. Offsets refer to the original text.
+"""Removal of lines and passages that other documents, or the same one, have had before.
+
+Texts are cut into units, which are normalised (ASCII lower case, white space collapsed) and
+hashed. The first kind of unit is a line, so a paragraph goes line by line, with exact
+borders. A passage inside longer lines is seen by units of the second kind, whose
+borders depend on the words around them only: the same passage is cut in the same places
+wherever it stands. Digests are grouped globally, the earliest ranked occurrence stays, and
+all later ones are removed with their offsets in the original text.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, StructType
 
-from weftgraph.llm.common import fresh, map_rows, mixed, stored, utf8, word_hashes
+from weftgraph.llm.common import (
+    at_end_of_task,
+    fresh,
+    in_batches,
+    map_rows,
+    mixed,
+    slices,
+    stored,
+    utf8,
+    word_hashes,
+)
+
+LINE_WORDS = 5  # shorter lines stay, as headings and list marks repeat by right
+WINDOW = 12  # a border inside lines falls in any so many neighbouring words
+MIN_WORDS = 20  # shorter runs of units inside lines stay
 
-WINDOW = 12  # a border falls in any so many neighbouring words
-MIN_WORDS = 20  # shorter runs of repeated units stay
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_SPAN = re.compile(rb"[^\x20\x09-\x0D]+")
+
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    factors = np.full(n, base, np.uint64)
-    factors[:1] = 1
-    return np.cumprod(factors, dtype=np.uint64)
+    """The first ``n`` powers of ``base``; they are kept up to the longest text of a task."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        at_end_of_task(_POWERS.clear)
+        factors = np.full(max(n, 4_096), base, np.uint64)
+        factors[0] = 1
+        held = _POWERS[base] = np.cumprod(factors, dtype=np.uint64)
+    return held[:n]
+
+
+class _Sums:
+    """128-bit digests of word ranges of one text, from two independent hashes per word."""
+
+    def __init__(self, words: list[bytes]):
+        n = len(words)
+        self.hashes = [word_hashes(words, seed) for seed in range(2)]
+        self.sums = [
+            np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _powers(base, n), dtype=np.uint64)])
+            for h, base in zip(self.hashes, _BASES)
+        ]
+        self.back = [_powers(pow(base, -1, 1 << 64), n + 1) for base in _BASES]
+
+    def digests(self, first: np.ndarray, end: np.ndarray, kind: int) -> list[np.ndarray]:
+        length = (end - first).astype(np.uint64) * np.uint64(2) + np.uint64(kind)
+        return [
+            mixed((sums[end] - sums[first]) * back[first] + length).view(np.int64)
+            for sums, back in zip(self.sums, self.back)
+        ]
+
+
+def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """``pick`` (minimum or maximum) over every ``width`` neighbours, by doubling."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = pick(values[:-step], values[step:])
+        done += step
+    return values
+
 
+def borders(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Word numbers at which a text is cut: its ends and, of every ``window`` neighbouring
+    word pairs, the one with the smallest hash."""
+    n = len(hashes)
+    if n <= window:
+        return np.array([0, n] if n else [0])
+    pairs = mixed(hashes[:-1] * np.uint64(3) + hashes[1:])
+    width = min(window, len(pairs))
+    least = _sliding(pairs, width, np.minimum)
+    pad = np.zeros(width - 1, np.uint64)
+    reached = _sliding(np.concatenate([pad, least, pad]), width, np.maximum)
+    inner = np.flatnonzero(pairs == reached)
+    return np.concatenate([[0], inner[inner > 0], [n]])
 
-def units(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(first word, end word, digest)`` of each unit.
 
-    Borders are the text's ends and, for every ``window`` neighbouring word pairs, the
-    pair with the smallest hash. A unit reaches over two gaps between borders, and
-    neighbouring units overlap by one, so a unit is specific and none is lost at a seam.
+def units(text: bytes, line_words: int = LINE_WORDS, window: int = WINDOW) -> dict[str, np.ndarray]:
+    """The units of a text: ``start`` and ``stop`` in characters, ``first`` and ``last`` in words,
+    ``d1`` and ``d2``, and ``line`` (1 for a line, 0 for a unit inside lines).
+
+    A line reaches up to the next line's start, a unit inside lines up to the next word's. Inner
+    units reach over two gaps between borders and overlap by one, so a unit is specific and
+    none is lost at a seam.
     """
+    raw = np.frombuffer(text, np.uint8)
+    space = np.concatenate([[True], _SPACE[raw], [True]])
+    starts = np.flatnonzero(space[:-1] & ~space[1:])
+    words = text.lower().split()
     n = len(words)
-    if not n:
-        return np.empty(0, int), np.empty(0, int), np.empty(0, np.int64)
-    hashes = word_hashes(words)
-    borders = [0, n]
-    if n > window:
-        pairs = mixed(hashes[:-1] * np.uint64(3) + hashes[1:])
-        views = np.lib.stride_tricks.sliding_window_view(pairs, min(window, len(pairs)))
-        borders = np.unique(np.concatenate([[0, n], views.argmin(1) + np.arange(len(views))]))
-    borders = np.asarray(borders)
-    if len(borders) == 2:
-        first, end = borders[:1], borders[1:]
+    if text.isascii():
+        chars = np.arange(len(raw) + 1)
     else:
-        first, end = borders[:-2], borders[2:]
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * _powers(_BASE, n), dtype=np.uint64)])
-    digests = (sums[end] - sums[first]) * _powers(_INVERSE, n)[first]
-    digests = mixed(digests + (end - first).astype(np.uint64))
-    return first, end, digests.view(np.int64)
-
-
-def _runs(first: np.ndarray, end: np.ndarray, marked: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Word ranges covered by marked units, those of at least ``least`` words."""
-    runs: list[list[int]] = []
-    for a, b in zip(first[marked].tolist(), end[marked].tolist()):
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = max(b, runs[-1][1])
-        else:
-            runs.append([a, b])
-    return [(a, b) for a, b in runs if b - a >= least]
-
-
-def _cut(text: bytes, runs: list[tuple[int, int]]) -> tuple[bytes, list[dict]]:
-    """The text without the runs of words, and their offsets in characters."""
-    spans = [m.span() for m in _SPAN.finditer(text)]
-    kept, removed, at, chars = [], [], 0, 0
-    for a, b in runs:
-        start = spans[a][0]
-        stop = spans[b][0] if b < len(spans) else len(text)
-        before = text[at:start]
-        kept.append(before)
-        chars += len(before.decode("utf-8", "replace"))
-        size = len(text[start:stop].decode("utf-8", "replace"))
-        removed.append({"start": chars, "length": size})
-        chars += size
-        at = stop
-    kept.append(text[at:])
-    return b"".join(kept), removed
+        chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+    at = np.append(chars[starts], chars[-1])
+    sums = _Sums(words)
+    # Lines: words between line breaks, and the text from the line's start to the next one's.
+    begin = np.concatenate([[0], np.flatnonzero(raw == 10) + 1, [len(raw)]])
+    word = np.searchsorted(starts, begin)
+    long = np.diff(word) >= line_words
+    first, last = word[:-1][long], word[1:][long]
+    parts = [(chars[begin[:-1][long]], chars[begin[1:][long]], first, last, 1)]
+    cut = borders(sums.hashes[0], window)
+    first, last = (cut[:-1], cut[1:]) if len(cut) <= 2 else (cut[:-2], cut[2:])
+    parts.append((at[first] if n else first[:0], at[last] if n else last[:0], first[:n], last[:n], 0))
+    found = []
+    for start, stop, first, last, kind in parts:
+        d1, d2 = sums.digests(first, last, kind)
+        found.append((start, stop, first, last, d1, d2, np.full(len(first), kind)))
+    names = ("start", "stop", "first", "last", "d1", "d2", "line")
+    return {name: np.concatenate(column) for name, column in zip(names, zip(*found))}
+
+
+_UNIT = ("start int, stop int, first int, last int, d1 long, d2 long, line int")
+
+
+def _cut_up(rows: DataFrame, line_words: int, window: int) -> DataFrame:
+    """``(id, row, units)`` of ``rows`` (id, row, text)."""
+    id_type = rows.schema["id"].dataType
+    kind = to_arrow_type(id_type)
+    struct = [(c.split()[0], pa.int64() if "long" in c else pa.int32()) for c in _UNIT.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch):
+                found = [units(text.as_py(), line_words, window) for text in part.column(2)]
+                offsets = np.cumsum([0, *(len(u["start"]) for u in found)]).astype(np.int32)
+                flat = [
+                    pa.array(np.concatenate([u[name] for u in found])).cast(t) for name, t in struct
+                ]
+                held = pa.StructArray.from_arrays(flat, names=[name for name, _ in struct])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).cast(kind), part.column(1), pa.ListArray.from_arrays(pa.array(offsets), held)],
+                    ["id", "row", "units"],
+                )
+
+    fields = ", ".join(": ".join(c.split()) for c in _UNIT.split(", "))
+    return in_batches(
+        rows.select("id", "row", "text"), run,
+        f"id {id_type.simpleString()}, row long, units array<struct<{fields}>>",
+    )
+
+
+def _repeated(units_of: DataFrame, min_words: int) -> DataFrame:
+    """``(id, row, spans, origins, n_words)`` of documents with something to remove.
+
+    Later occurrences of a unit are marked and marks that touch joined. A joined span is
+    removed if it has a line in it or is long enough.
+    """
+    each = units_of.select("id", "row", F.inline("units"))
+    place = F.struct(F.col("id").isNull().alias("nameless"), "id", "row", "start")
+    earliest = stored(
+        each.groupBy("d1", "d2")
+        .agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1 and not origin.nameless")
+        .drop("n"),
+        "earliest",
+    )
+    marks = (
+        each.join(earliest, ["d1", "d2"])
+        .where(~(place.eqNullSafe(F.col("origin"))))
+        .select("id", "row", "start", "stop", "first", "last", "line", F.col("origin.id").alias("origin"))
+    )
+    text = Window.partitionBy("id", "row").orderBy("start", "stop")
+    before = F.max("stop").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.when(F.col("start") <= before, 0).otherwise(1)
+    spans = (
+        marks.withColumn("apart", apart)
+        .withColumn("span", F.sum("apart").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("id", "row", "span")
+        .agg(
+            F.min("start").alias("start"), F.max("stop").alias("stop"), F.max("line").alias("line"),
+            (F.max("last") - F.min("first")).alias("words"), F.collect_set("origin").alias("origins"),
+        )
+        .where((F.col("line") == 1) | (F.col("words") >= min_words))
+    )
+    return spans.groupBy("id", "row").agg(
+        F.sort_array(
+            F.collect_list(
+                F.struct(
+                    F.col("start").cast("long").alias("start"),
+                    (F.col("stop") - F.col("start")).cast("long").alias("length"),
+                )
+            )
+        ).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("origins")))).alias("origins"),
+        F.sum("words").cast("long").alias("n_words"),
+    )
 
 
 def remove_repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
+    line_words: int = LINE_WORDS,
     window: int = WINDOW,
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
-    """``docs`` without repeated passages, and ``removed``, ``removed_words``, ``repeats_of``.
+    """``docs`` without repeated lines and passages, and ``removed``, ``removed_words``, ``repeats_of``.
 
     The earliest occurrence is that in the document of the lowest id, and within a document
     the first. ``removed`` holds start and length of each removed span in characters of the
-    original text; ``repeats_of`` the ids of the documents that had it first. Any passage
-    of 2 * ``window`` + ``min_words`` words or more is found; up to ``window`` words at either
-    end of it may stay, as their unit reaches into the surroundings. Runs under
-    ``min_words`` words stay.
+    original text, in order; ``repeats_of`` the ids of the documents that had it first. Every
+    repeated line of ``line_words`` words or more goes as a whole, with its line break.
+    Inside lines, and across lines that are broken differently, any passage of
+    2 * ``window`` + ``min_words`` words or more is found; up to ``window`` words at either end of
+    it may stay, as their unit reaches into the surroundings. Shorter lines and runs stay.
 
-    A null text stays null, an empty one empty; both have nothing removed. Null ids rank
-    last and do not remove from each other; rows that share an id do not either.
+    A null text stays null, an empty one empty; both have nothing removed. What only rows with
+    null ids have stays, as they rank last and not among each other. Rows of one id with
+    different texts are ranked by a hash of the text; rows equal in id and text are
+    one document and lose the same. Columns of ``docs`` named ``removed``, ``removed_words``
+    or ``repeats_of`` are replaced. Equality is that of 128-bit digests.
     """
     out = docs.drop("removed", "removed_words", "repeats_of")
     names = out.columns
-    row_key, content, places, sources, later_id, later_row = fresh(
-        out, "row_key", "content", "places", "sources", "later_id", "later_row"
+    row_key, spans, origins, later_id, later_row, n_words = fresh(
+        out, "row_key", "spans", "origins", "later_id", "later_row", "n_words"
     )
     spread = out.withColumn(row_key, F.xxhash64(F.col(id_col), F.col(text_col)))
     id_type = docs.schema[id_col].dataType
-
-    def cut_up(batch: dict) -> list[tuple]:
-        rows = []
-        for i, row, text in zip(batch["id"], batch["row"], batch["text"]):
-            first, _, digests = units(text.lower().split(), window)
-            _, once = np.unique(digests, return_index=True)
-            rows.append((i, row, first[once].tolist(), digests[once].tolist()))
-        return rows
-
     pieces = stored(
-        map_rows(
+        _cut_up(
             spread.select(
                 F.col(id_col).alias("id"), F.col(row_key).alias("row"), utf8(text_col).alias("text")
             ),
-            cut_up,
-            f"id {id_type.simpleString()}, row long, first array<int>, digest array<long>",
+            line_words,
+            window,
         ),
         "units",
     )
-    each = pieces.select("id", "row", F.inline(F.arrays_zip("first", "digest")))
-    earliest = stored(
-        each.groupBy("digest")
-        .agg(F.min("id").alias("earliest"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1 and earliest is not null")
-        .drop("n"),
-        "earliest",
-    )
-    later = (
-        each.join(earliest, "digest")
-        .where("id is null or id > earliest")
-        .groupBy(F.col("id").alias(later_id), F.col("row").alias(later_row))
-        .agg(
-            F.collect_set("first").alias(places),
-            F.sort_array(F.collect_set("earliest")).alias(sources),
-        )
-    )
+    later = _repeated(pieces, min_words).select(
+        F.col("id").alias(later_id), F.col("row").alias(later_row), F.col("spans").alias(spans),
+        F.col("origins").alias(origins), F.col("n_words").alias(n_words),
+    )
 
-    def rebuilt(batch: dict) -> list[tuple]:
+    def cut(batch: dict) -> list[tuple]:
         rows = []
-        for k, text in enumerate(batch[content]):
+        for k, (found, text) in enumerate(zip(batch[spans], batch[text_col])):
             row = {n: batch[n][k] for n in names}
-            found, origins = batch[places][k] or [], batch[sources][k] or []
-            removed, count = [], 0
-            if row[text_col]:
-                first, end, digests = units(text.lower().split(), window)
-                seen = np.ones(len(digests), bool)
-                seen[np.unique(digests, return_index=True)[1]] = False
-                marked = seen | np.isin(digests, digests[np.isin(first, found)])
-                runs = _runs(first, end, marked, min_words)
-                if runs:
-                    text, removed = _cut(text, runs)
-                    row[text_col] = text.decode("utf-8", "replace")
-                    count = sum(b - a for a, b in runs)
-            rows.append((*row.values(), removed, count, origins if removed else []))
+            if found:
+                kept, at = [], 0
+                for span in found:
+                    kept.append(text[at : span["start"]])
+                    at = span["start"] + span["length"]
+                row[text_col] = "".join([*kept, text[at:]])
+            rows.append((*row.values(), found or [], batch[n_words][k] or 0, batch[origins][k] or []))
         return rows
 
     more = StructType.fromDDL(
         "removed array<struct<start: long, length: long>>, removed_words long"
     ).add("repeats_of", ArrayType(id_type))
     same = (F.col(row_key) == F.col(later_row)) & F.col(id_col).eqNullSafe(F.col(later_id))
-    joined = spread.join(later, same, "left")
     return map_rows(
-        joined.select(*names, utf8(text_col).alias(content), places, sources),
-        rebuilt,
+        spread.join(later, same, "left").select(*names, spans, origins, n_words),
+        cut,
         StructType(out.schema.fields + more.fields),
     )
