@@ -117,7 +117,9 @@ def test_repeats(messy, nothing, spark):
     assert out.columns[:2] == ["doc_id", "text"] and out.columns[-3:] == [
         "removed", "removed_words", "repeats_of"]
     rows = out.collect()
-    assert sorted(str(r.text) for r in rows) == sorted(str(r.text) for r in messy.collect())
+    # The row without id repeats a line of document 1; rows equal in id and text stay alike.
+    want = ["" if r.doc_id is None and r.text else str(r.text) for r in messy.collect()]
+    assert sorted(str(r.text) for r in rows) == sorted(want)
     assert substring_dedup.remove_repeats(nothing).collect() == []
 
 

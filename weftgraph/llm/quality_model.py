@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
@@ -24,10 +24,20 @@ from weftgraph.llm.quality_rules import ledger
 DIMENSIONS = 1 << 18
 SAMPLE = 10_000  # documents that the scorers are trained on, at most
 
-# English insults, as a starting point for the toxic aspect.
+# Insults of the languages at hand, as a starting point for the toxic aspect.
 INSULTS = [
     "idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless",
-    "disgusting", "clown", "dumb", "jerk",
+    "disgusting", "clown", "dumb", "jerk", "fool", "imbecile", "coward", "filth", "vermin",
+    "freak", "creep", "brainless", "lowlife", "dimwit", "dummkopf", "trottel", "abschaum",
+    "arschloch", "versager", "connard", "ordure", "salaud", "minable", "abruti", "idiota",
+    "imbécil", "estúpido", "basura", "asqueroso", "payaso", "inútil",
+]
+
+# Turns of contempt and threat, each two or three words.
+HOSTILE = [
+    "shut up", "go away", "hate you", "hurt you", "kill you", "kill yourself", "get lost",
+    "drop dead", "you people", "you make me", "nobody likes you", "halt die klappe", "hasse dich",
+    "ferme la", "te déteste", "te odio", "cállate ya",
 ]
 
 
@@ -39,52 +49,73 @@ def _vote(bad: str, good: str = "false") -> str:
 LABELLERS = {
     "quality": {
         "human": _vote("quality = 0", "quality = 1"),
-        "symbols": _vote("100 * n_symbols > 5 * word_chars", "n_symbols = 0 and n_words >= 20"),
-        "shouting": _vote("2 * n_capitals > n_letters", "5 * n_capitals < n_letters"),
-        "repetition": _vote("3 * n_repeat_words > n_words", "20 * n_repeat_words < n_words"),
-        "word_length": _vote(
-            "word_chars > 15 * n_words or word_chars < 2 * n_words",
-            "word_chars between 4 * n_words and 8 * n_words",
-        ),
+        "symbols": _vote("100 * n_symbols > 5 * word_chars"),
+        "shouting": _vote("2 * n_capitals > n_letters"),
+        "repetition": _vote("3 * n_repeat_words > n_words"),
+        "word_length": _vote("word_chars > 15 * n_words or word_chars < 2 * n_words"),
         "lines": _vote("2 * n_dup_lines > n_lines"),
+        "short": _vote("n_words < 20"),
     },
     "toxic": {
         "human": _vote("toxic = 1", "toxic = 0"),
         "insult": _vote("n_insults >= 1"),
+        "insults": _vote("n_insults >= 3"),
+        "hostile": _vote("n_hostile >= 1"),
+        "outcry": _vote("n_outcries >= 3 and n_hostile + n_insults >= 1"),
     },
 }
 
 
-# Labellers whose accuracy is known and held: human labels are nearly always right, and
-# without an anchor the hidden class drifts to whatever the heuristics agree on.
-TRUSTED = {"human": 0.995}
+# What is known of labellers beforehand: an accuracy, and how many times their votes it counts
+# for. People who read a text are mostly right, and without some such knowledge the hidden
+# class drifts to whatever the heuristics agree on.
+EXPECTED = {"human": (0.98, 4.0)}
 
 
 def estimate(
-    patterns: list[tuple[tuple[int, ...], int]], trusted: dict[int, float], steps: int = 60
+    patterns: list[tuple[tuple[int, ...], int]],
+    expected: dict[int, tuple[float, float]],
+    steps: int = 60,
 ) -> dict:
     """Labeller models from counted vote patterns, by expectation-maximisation.
 
     Labellers are taken as independent given the hidden class. Returns the share of good
     documents, ``p[class][labeller][vote]`` (class 0 bad, 1 good; votes -1, 0, 1) and the
-    estimated accuracy of each labeller where it votes. ``trusted`` maps labellers to an
-    accuracy that is held; only how often they vote is estimated.
+    estimated accuracy of each labeller where it votes. ``expected`` maps labellers to an
+    accuracy and how many times their votes it counts for beside what is counted. How often
+    a labeller votes which way is estimated for both classes. That it is silent is taken to tell
+    nothing, since a kind of bad text that few heuristics know would pass for good otherwise.
     """
     votes = np.array([p for p, _ in patterns], int)
     counts = np.array([n for _, n in patterns], float)
     onehot = np.stack([votes == v for v in (-1, 0, 1)], 2).astype(float)
-    first = np.array([trusted.get(j, 0.9) for j in range(votes.shape[1])])
+    first = np.array([expected.get(j, (0.9, 0))[0] for j in range(votes.shape[1])])
+    told = onehot * np.array([1, 0, 1])
+    cast = np.einsum("n,nlv->lv", counts, onehot)
+    before = np.full((2, votes.shape[1], 3), 0.5)
+    for j, (accuracy, share) in expected.items():
+        bad, good = share * cast[j, 0], share * cast[j, 2]
+        before[:, j, 0] += bad * np.array([accuracy, 1 - accuracy])
+        before[:, j, 2] += good * np.array([1 - accuracy, accuracy])
+    # Silence tells nothing, so it cannot tell the share of the classes either. That comes from
+    # what expected labellers voted, else from all documents with votes, or where votes only
+    # go one way, from how many documents nobody has called bad.
+    spoken = (votes != 0).any(1)
+    voted = cast[list(expected)].sum(0) if expected else np.zeros(3)
+    if voted[0] + voted[2]:
+        part = (voted[2] + 1) / (voted[0] + voted[2] + 2)
+    else:
+        part = 1 - counts[(votes < 0).any(1)].sum() / counts.sum()
+    share = np.array([1 - part, part]).clip(0.01, 0.99)
+    settled = voted[0] + voted[2] > 0 or not (votes > 0).any()
     good = 1 / (1 + np.exp(-(votes @ np.log(first / (1 - first)) + 3)))
     for _ in range(steps):
         both = np.stack([counts * (1 - good), counts * good])
-        p = np.einsum("cn,nlv->clv", both, onehot) + 0.5
+        p = np.einsum("cn,nlv->clv", both, onehot) + before
         p /= p.sum(2, keepdims=True)
-        for j, accuracy in trusted.items():
-            heard = 1 - p[:, j, 1]
-            p[0, j, 0], p[0, j, 2] = heard[0] * accuracy, heard[0] * (1 - accuracy)
-            p[1, j, 2], p[1, j, 0] = heard[1] * accuracy, heard[1] * (1 - accuracy)
-        share = np.clip(both.sum(1) / counts.sum(), 1e-6, 1)
-        log = np.log(share)[:, None] + np.einsum("nlv,clv->cn", onehot, np.log(p))
+        if not settled:
+            share = np.clip(both[:, spoken].sum(1) / counts[spoken].sum(), 1e-6, 1)
+        log = np.log(share)[:, None] + np.einsum("nlv,clv->cn", told, np.log(p))
         good = 1 / (1 + np.exp(np.clip(log[0] - log[1], -40, 40)))
     right = share[0] * p[0, :, 0] + share[1] * p[1, :, 2]
     wrong = share[0] * p[0, :, 2] + share[1] * p[1, :, 0]
@@ -96,7 +127,7 @@ def posterior(votes: list[Column], model: dict) -> Column:
     share, p = model["share"], model["p"]
     odds = F.lit(float(np.log(share[1] / share[0])))
     for j, vote in enumerate(votes):
-        gains = np.log(p[1, j] / p[0, j])
+        gains = np.log(p[1, j] / p[0, j]) * [1, 0, 1]
         odds = odds + F.element_at(F.array(*[F.lit(float(g)) for g in gains]), vote + 2)
     return 1 / (1 + F.exp(-odds))
 
@@ -156,31 +187,37 @@ def constant(bias: float) -> Scorer:
 
 
 MIN_ROWS, MIN_DEVIATIONS = 4, 4.0
+SILENT = 0.1  # weight of a training document on which no labeller has voted
 
 
 def train(
-    rows: list[np.ndarray], targets: np.ndarray, steps: int = 150, rate: float = 0.5
+    rows: list[np.ndarray], targets: np.ndarray, prior: float, steps: int = 150, rate: float = 0.5
 ) -> Scorer:
     """Logistic regression with soft targets, classes weighed alike, by adaptive gradients.
 
-    A feature is used if it is in ``MIN_ROWS`` rows and its share of good rows is
+    A row counts as far as its target says more than ``prior``, the share of good documents,
+    and at least ``SILENT``. A feature is used if it is in ``MIN_ROWS`` rows and its share of good rows is
     ``MIN_DEVIATIONS`` standard deviations off the average; the many rare words of a corpus
     would otherwise be learned by heart. Without two classes the scorer is constant.
     """
-    share = float(targets.mean()) if len(targets) else 1.0
-    if share > 1 - 1e-9 or share < 1e-9:
+    telling = np.where(targets >= prior, targets - prior, 0) / max(1 - prior, 1e-9)
+    telling = np.maximum(telling, np.where(targets < prior, prior - targets, 0) / max(prior, 1e-9))
+    telling = np.maximum(telling, SILENT)
+    share = float((telling * targets).sum() / telling.sum()) if len(targets) else prior
+    if share > 1 - 1e-9 or share < 1e-9 or not len(targets):
         return constant(10.0 if share > 0.5 else -10.0)
     at = np.concatenate(rows)
-    spread = np.repeat(targets, [len(r) for r in rows])
+    sizes = [len(r) for r in rows]
     n = np.bincount(at, minlength=DIMENSIONS)
-    off = np.bincount(at, spread, DIMENSIONS) - n * share
-    used = (n >= MIN_ROWS) & (np.abs(off) >= MIN_DEVIATIONS * np.sqrt(n * share * (1 - share)))
+    weight = np.bincount(at, np.repeat(telling, sizes), DIMENSIONS)
+    off = np.bincount(at, np.repeat(telling * targets, sizes), DIMENSIONS) - weight * share
+    used = (n >= MIN_ROWS) & (np.abs(off) >= MIN_DEVIATIONS * np.sqrt(weight * share * (1 - share)))
     rows = [r[used[r]] for r in rows]
     lengths = np.array([len(r) for r in rows])
     at = np.concatenate(rows)
     row = np.repeat(np.arange(len(rows)), lengths)
     scale = 1 / np.sqrt(lengths + 1)
-    importance = (targets / share + (1 - targets) / (1 - share)) / (2 * len(rows))
+    importance = telling * (targets / share + (1 - targets) / (1 - share)) / (2 * telling.sum())
     weights, bias = np.zeros(DIMENSIONS), 0.0
     seen, seen_bias = np.full(DIMENSIONS, 1e-6), 1e-6
     for _ in range(steps):
@@ -194,9 +231,21 @@ def train(
     return Scorer(used, weights.astype(np.float32), float(bias))
 
 
+_INSULTS = {w.encode() for w in INSULTS}
+_HOSTILE = [b" " + w.encode() + b" " for w in HOSTILE]
+
+
 def _insults(text: bytes) -> int:
-    words = set(text.lower().translate(_FOLD).split())
-    return sum(1 for w in INSULTS if w.encode() in words)
+    return len(_INSULTS.intersection(text.lower().translate(_FOLD).split()))
+
+
+def _hostile(text: bytes) -> int:
+    plain = b" " + b" ".join(text.lower().translate(_FOLD).split()) + b" "
+    return sum(1 for phrase in _HOSTILE if phrase in plain)
+
+
+def _outcries(text: bytes) -> int:
+    return text.count(b"!")
 
 
 @dataclass
@@ -211,14 +260,22 @@ def fit(
     sample: int = SAMPLE,
     id_col: str = "doc_id",
     text_col: str = "text",
+    labellers: dict[str, dict[str, str]] | None = None,
 ) -> QualityModel:
     """Estimates the labellers over all documents and trains the scorers on a sample.
 
     Votes are counted over every document; the driver sees counts per vote pattern. The
-    scorers train on at most ``sample`` documents with a human label (any documents if
-    none has one), the first ones by a hash of the id, which come to the driver as
-    feature numbers. An empty table gives a model that keeps everything.
+    scorers train on the posteriors of at most ``sample`` documents, half of them with a
+    human label and half without (more of one kind where the other has fewer), the first ones
+    by a hash of the id, which come to the driver as feature numbers. ``labellers`` are aspect
+    to name to vote, ``LABELLERS`` if not given.
+
+    Null and empty texts are documents without words, very long ones are read whole, and
+    rows with a null id are counted but not trained on; repeated rows count again. Several
+    labels of a document count as the worst of them. An empty table gives a model that keeps
+    everything, and so does one in which no labeller votes.
     """
+    labellers = labellers or LABELLERS
     id_type = docs.schema[id_col].dataType.simpleString()
 
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -227,39 +284,41 @@ def fit(
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     )
-    measured = ledger(named, "id", "text", extra={"n_insults": _insults})
+    measured = ledger(named, "id", "text", extra={"n_insults": _insults, "n_hostile": _hostile, "n_outcries": _outcries})
     joined = measured.join(human, "id", "left")
     arrays = [
         F.array(*[F.expr(vote) for vote in group.values()]).alias(aspect)
-        for aspect, group in LABELLERS.items()
+        for aspect, group in labellers.items()
     ]
     voted = stored(
         joined.select("id", *arrays, F.coalesce("quality", "toxic").isNotNull().alias("labelled")),
         "votes",
     )
     models = {}
-    for aspect in LABELLERS:
+    for aspect in labellers:
         rows = voted.groupBy(aspect).agg(F.count(F.lit(1)).alias("n")).collect()
         counted = sorted((tuple(r[aspect]), r["n"]) for r in rows)
         if counted:
-            held = {j: TRUSTED[n] for j, n in enumerate(LABELLERS[aspect]) if n in TRUSTED}
-            models[aspect] = estimate(counted, held)
+            known = {j: EXPECTED[n] for j, n in enumerate(labellers[aspect]) if n in EXPECTED}
+            models[aspect] = estimate(counted, known)
     if not models:
-        return QualityModel({}, {aspect: constant(10.0) for aspect in LABELLERS})
-    pool = voted.where("labelled")
-    if pool.isEmpty():
-        pool = voted
+        return QualityModel({}, {aspect: constant(10.0) for aspect in labellers})
     targets = [
-        posterior([F.element_at(aspect, j + 1) for j in range(len(LABELLERS[aspect]))], model).alias(
+        posterior([F.element_at(aspect, j + 1) for j in range(len(labellers[aspect]))], model).alias(
             f"good_{aspect}"
         )
         for aspect, model in models.items()
     ]
+    # Places count within each kind, so the two take turns until one runs out.
+    named_votes = voted.where(F.col("id").isNotNull()).select("id", "labelled", *targets)
+    kinds = [
+        named_votes.where(F.col("labelled") == kind).orderBy(F.xxhash64("id"), "id").limit(sample)
+        for kind in (True, False)
+    ]
+    place = F.row_number().over(Window.partitionBy("labelled").orderBy(F.xxhash64("id"), "id"))
     chosen = (
-        pool.where(F.col("id").isNotNull())
-        .select("id", *targets)
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(sample)
+        kinds[0].unionAll(kinds[1]).withColumn("place", place)
+        .orderBy("place", F.desc("labelled")).limit(sample).drop("place", "labelled")
     )
     # At most ``sample`` ids, so the small side may be broadcast.
     training = named.join(F.broadcast(stored(chosen, "sample")), "id")
@@ -281,7 +340,10 @@ def fit(
     )
     at = [np.frombuffer(r["at"], np.int32) for r in rows]
     scorers = {
-        aspect: train(at, np.array([r[f"good_{aspect}"] for r in rows])) for aspect in models
+        aspect: train(
+            at, np.array([r[f"good_{aspect}"] for r in rows]), float(models[aspect]["share"][1])
+        )
+        for aspect in models
     }
     return QualityModel(models, scorers)
 
