@@ -434,25 +434,3 @@ def test_held_out_accuracy(spark):
     print("kept of the clean, rejected of the bad:", results)
     assert results["all"] != results["human"]
     assert results["all"][0] > 0.9 and results["all"][1] > results["human"][1] + 0.1
-
-
-def test_posteriors_without_human_labels(spark):
-    """Weak labellers alone train a scorer; without them too, there is nothing to learn from."""
-    rng = random.Random(9)
-    words = [f"w{i}" for i in range(600)]
-    rows, truth = [], {}
-    for d in range(600):
-        bad = d % 4 == 0
-        text = [rng.choice(words) for _ in range(60)] + (["marker", "idiot"] if bad else [])
-        rows.append((d, " ".join(text)))
-        truth[d] = not bad
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-
-    def kept(labellers):
-        model = quality_model.fit(docs, none, labellers=labellers)
-        return {r.doc_id: r.p_clean >= 0.5 for r in quality_model.classify(docs, model).collect()}
-
-    assert kept(None) == truth
-    alone = {aspect: {"human": group["human"]} for aspect, group in quality_model.LABELLERS.items()}
-    assert len(set(kept(alone).values())) == 1
