@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -219,3 +220,82 @@ def test_stages_keep_columns(messy, spark):
     for _, stage in corpus_pipeline.STAGES[1:4]:
         assert stage(spark, messy, "").columns == messy.columns
         assert stage(spark, messy.select(*columns), "").columns == columns
+
+
+PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """A small corpus with odd rows, copies, near copies, a shared passage and junk, with labels."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(900)]
+
+    def prose(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    passage, base = prose(70), prose(200).split()
+    rows = [(d, prose(rng.randint(60, 200)), "en", f"s{d % 3}", 1) for d in range(80)]
+    rows += [(100 + d, f"{prose(60)} {passage} {prose(60)}", "en", "s0", 1) for d in range(6)]
+    for d in range(8):
+        near = list(base)
+        near[20 * d % 200] = f"edit{d}"
+        rows.append((200 + d, " ".join(near), "en", "s1", 1))
+    junk = [(300 + d, " ".join(f"{rng.choice(words)}%%%" for _ in range(80)), "en", "s2", 1) for d in range(30)]
+    odd = [
+        (1, rows[1][1], "en", "s1", 1), (1, prose(90), None, None, None), (None, prose(80), "en", "s0", 1),
+        (None, rows[5][1], "en", "s0", 1), (400, None, None, None, None), (401, "", "en", "s0", 0),
+        (402, " ".join(f"long{i}" for i in range(30_000)), "en", "s1", 1),
+    ]
+    labels = [(d, 1, 0) for d in range(0, 80, 2)] + [(300 + d, 0, 0) for d in range(0, 30, 2)]
+    path = str(tmp_path_factory.mktemp("corpus"))
+    spark.createDataFrame(rows + junk + odd, PLAIN).repartition(3).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def test_pipeline_end_to_end(spark, corpus):
+    docs, outputs = spark.read.parquet(f"{corpus}/documents.parquet"), []
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, corpus), "tested-stage")
+        outputs.append(docs.collect())
+    good, unique, cut, mixed, packed = outputs
+    ids = {r.doc_id for r in good}
+    assert not ids & set(range(300, 330)) and set(range(80)) <= ids
+    # Near duplicates against all pairs: one row of each group, whatever its id.
+    sets = [near_dedup.shingle_set(near_dedup.words_of((r.text or "").encode()), 5) for r in good]
+    group = list(range(len(good)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= 80 * (len(a) + len(sets[j]) - both):
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    kept = [repr(tuple(r)) for r in unique]
+    members: dict = {}
+    for g, r in zip(group, good):
+        members.setdefault(g, []).append(repr(tuple(r)))
+    assert len(kept) == len(members) and all(set(m) & set(kept) for m in members.values())
+    assert {r.doc_id for r in unique} >= {1, 400, 402, None}
+    # The shared passage is left in one document, and nothing else is cut.
+    changed = {r.doc_id: r.text for r in cut} 
+    before = {r.doc_id: r.text for r in unique}
+    assert all(changed[d] == before[d] for d in range(2, 80) if d in changed)
+    assert sum(len(changed[100 + d]) < len(before[100 + d]) for d in range(6)) == 5
+    # Every document that is mixed in is packed whole, without gaps.
+    sizes: dict = {}
+    for r in packed:
+        sizes.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in sizes.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert sum(1 for r in packed if r.piece == 0) == len(mixed)
+
+
+def test_pipeline_of_nothing(spark, corpus, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{corpus}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
