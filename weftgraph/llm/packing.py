@@ -30,6 +30,12 @@ PATTERN = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
 
+# Texts on which the fast tokenizer must agree with the file's own; another cut or merge order shows.
+SAMPLES = (
+    "It's 12,345 o'clock -- don't   wait\n\n  for\tus!", "naïve Größe ñandú \u4f60\u597d \U0001f600 _x1 %%% e.g.",
+    " leading and trailing \n", "CamelCase snake_case 3.14159 http://a.b/c?d=e&f",
+)
+
 
 class _Irregular(Exception):
     """A chunk that white space or a special token ties to its neighbours."""
@@ -90,6 +96,9 @@ def tokenizer(path: str):
     def encode(text: str) -> bytes:
         return array("I", plain.encode_ordinary(text)).tobytes()
 
+    for sample in SAMPLES:
+        if plain.encode_ordinary(sample) != loaded.encode(sample, add_special_tokens=False).ids:
+            raise ValueError(f"{path} is not a byte-level BPE file of the known layout")
     chunks = _Chunks(encode)
     at_end_of_task(chunks.clear)
 
