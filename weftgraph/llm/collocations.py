@@ -96,21 +96,29 @@ def _filter(phrases: DataFrame) -> Filter:
             for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 parts = np.array([_word_hash(lang, w) for w in phrase.encode().split(b" ")], np.uint64)
                 hashes.append(parts[0] if len(parts) == 1 else _pair_hashes(parts[:1], parts[1:])[0])
-            for at in _positions(np.array(hashes, np.uint64)):
-                np.bitwise_or.at(cells, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
-        used = np.flatnonzero(cells)
-        if len(used):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used), pa.array(cells[used].view(np.int64))], ["cell", "bits"]
-            )
+            mark(cells, np.array(hashes, np.uint64))
+        yield from marked(cells)
 
-    found = (
-        phrases.select("lang", "phrase")
-        .mapInArrow(placed, "cell long, bits long")
-        .groupBy("cell")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toArrow()
-    )
+    return put_together(phrases.select("lang", "phrase").mapInArrow(placed, "cell long, bits long"))
+
+
+def mark(cells: np.ndarray, hashes: np.ndarray) -> None:
+    """Puts hashes into the bitmap of a task."""
+    for at in _positions(hashes):
+        np.bitwise_or.at(cells, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+
+
+def marked(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+    used = np.flatnonzero(cells)
+    if len(used):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used), pa.array(cells[used].view(np.int64))], ["cell", "bits"]
+        )
+
+
+def put_together(parts: DataFrame) -> Filter:
+    """The filter from the ``(cell, bits)`` of all tasks."""
+    found = parts.groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
     cells = np.zeros(1 << (BITS - 6), np.uint64)
     cells[found["cell"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return Filter(cells)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, StructType
 
+from weftgraph.llm.collocations import BITS, mark, marked, put_together
 from weftgraph.llm.common import (
     at_end_of_task,
     fresh,
@@ -163,6 +164,38 @@ def _cut_up(rows: DataFrame, line_words: int, window: int) -> DataFrame:
     )
 
 
+def _perhaps_in(units_of: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``units_of`` with those units only whose digest may be in ``repeated``.
+
+    A bitmap of fixed size tells; most units are unlike any other and need not be shuffled again
+    to find that out. What it lets through is joined exactly.
+    """
+
+    def placed(batches):
+        cells = np.zeros(1 << (BITS - 6), np.uint64)
+        for batch in batches:
+            mark(cells, batch.column(0).to_numpy().view(np.uint64))
+        yield from marked(cells)
+
+    known = put_together(repeated.select("d1").mapInArrow(placed, "cell long, bits long"))
+    at = units_of.schema.names.index("units")
+
+    def narrowed(batches):
+        for batch in batches:
+            for part in slices(batch):
+                held = part.column(at)
+                flat = held.flatten()
+                use = known.has(flat.field("d1").to_numpy(zero_copy_only=False).view(np.uint64))
+                sizes = np.diff(held.offsets.to_numpy())
+                text = np.repeat(np.arange(len(sizes)), sizes)[use]
+                ends = np.append(0, np.cumsum(np.bincount(text, minlength=len(sizes)))).astype(np.int32)
+                kept = pa.ListArray.from_arrays(pa.array(ends), flat.filter(pa.array(use)))
+                columns = [kept if i == at else c for i, c in enumerate(part.columns)]
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names)
+
+    return in_batches(units_of, narrowed, units_of.schema)
+
+
 def _repeated(units_of: DataFrame, min_words: int) -> DataFrame:
     """``(id, row, spans, origins, n_words)`` of documents with something to remove.
 
@@ -179,7 +212,9 @@ def _repeated(units_of: DataFrame, min_words: int) -> DataFrame:
         "earliest",
     )
     marks = (
-        each.join(earliest, ["d1", "d2"])
+        _perhaps_in(units_of, earliest)
+        .select("id", "row", F.inline("units"))
+        .join(earliest, ["d1", "d2"])
         .where(~(place.eqNullSafe(F.col("origin"))))
         .select("id", "row", "start", "stop", "first", "last", "line", F.col("origin.id").alias("origin"))
     )
