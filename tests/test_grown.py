@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.operators import clustering
 from weftgraph.operators.edges import symmetrize
+from weftgraph.sources.keyed import filter_cells, possible_keys
 
 
 def random_graph(spark, n: int, m: int, seed: int = 5):
@@ -44,3 +45,15 @@ def test_lists_are_sent_a_few_times(edges):
     assert closers <= shards * clustering.CLOSERS_PER_TASK
     ids = slices * closers + shards * edges
     assert ids < edges * clustering.colours_for(edges, 12) / 4 or ids <= 5 * edges
+
+
+def test_a_key_is_one_row_of_the_filter(spark):
+    """Neither building nor asking makes several rows of a key, which is all that is shuffled."""
+    stored = spark.range(8_000).select(F.when(F.col("id") > 0, F.col("id") * 2).alias("k"), F.lit(0).alias("in_bucket"))
+    cells = filter_cells(stored, ["k"], 12 * 8_000)
+    asked = spark.range(8_000).select((F.col("id") * 2 + 1).alias("k"), F.lit(0).alias("in_bucket"))
+    for keyed, least, most in ((stored, 8_000, 8_000), (asked, 0, 240)):
+        told = possible_keys(keyed, ["k"], 12 * 8_000, cells)
+        assert told.count() == 8_000 and least <= told.where("`filter maybe`").count() <= most
+        assert "Generate" not in told._jdf.queryExecution().executedPlan().toString()
+    assert possible_keys(asked, ["k"], 12 * 8_000, cells.where("false")).where("`filter maybe`").isEmpty()
