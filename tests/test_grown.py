@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from weftgraph.operators import clustering
+from weftgraph.operators import blocks, clustering
 from weftgraph.operators.edges import symmetrize
 from weftgraph.sources.keyed import filter_cells, possible_keys
 
@@ -57,3 +59,18 @@ def test_a_key_is_one_row_of_the_filter(spark):
         assert told.count() == 8_000 and least <= told.where("`filter maybe`").count() <= most
         assert "Generate" not in told._jdf.queryExecution().executedPlan().toString()
     assert possible_keys(asked, ["k"], 12 * 8_000, cells.where("false")).where("`filter maybe`").isEmpty()
+
+
+def test_a_block_is_summed_in_slices(monkeypatch):
+    draw = np.random.default_rng(3)
+    src, dst = draw.integers(-50, 50, 5_000), draw.integers(-40, 40, 5_000)
+    node = np.arange(-50, 30)
+    values = pa.table({"node": node, "value": node * 0.5})
+    want = {t: src[(dst == t) & (src < 30)].sum() * 0.5 for t in set(dst[src < 30].tolist())}
+    sizes = []
+    summed = blocks._summed
+    monkeypatch.setattr(blocks, "EDGES_AT_ONCE", 100)
+    monkeypatch.setattr(blocks, "_summed", lambda t, v: sizes.append(len(t)) or summed(t, v))
+    out = blocks._sums_of_block(pa.table({"block": src * 0, "src": src, "dst": dst}), values)
+    assert dict(zip(out["node"].to_pylist(), out["value"].to_pylist())) == pytest.approx(want)
+    assert max(sizes) <= 100 + 9 * 80
