@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.operators import blocks, clustering
 from weftgraph.operators.edges import symmetrize
+from weftgraph.sources import tables
 from weftgraph.sources.keyed import filter_cells, possible_keys
 
 
@@ -74,3 +75,28 @@ def test_a_block_is_summed_in_slices(monkeypatch):
     out = blocks._sums_of_block(pa.table({"block": src * 0, "src": src, "dst": dst}), values)
     assert dict(zip(out["node"].to_pylist(), out["value"].to_pylist())) == pytest.approx(want)
     assert max(sizes) <= 100 + 9 * 80
+
+
+def test_stored_order_shuffles_runs_only(spark, tmp_path):
+    """Rows in disorder inside a file, at its nulls and at seams of batches and splits."""
+    draw = random.Random(8)
+    rows = [(draw.choice([None, 1, 2, 3]), draw.choice([None, 5, 6])) for _ in range(400)]
+    edges = spark.createDataFrame(rows, "src bigint, dst bigint").repartition(3)
+    edges.withColumn("src_bucket", F.spark_partition_id()).write.partitionBy("src_bucket").parquet(f"{tmp_path}/e")
+    stored = spark.read.parquet(f"{tmp_path}/e")
+    kept = stored.select("src_bucket", "src", "dst", F.col("_metadata.row_index").alias("i")).orderBy("src_bucket", "i").collect()
+    rank = lambda r: tuple((v is not None, v or 0) for v in (r.src, r.dst))
+    want = {b: [0, 0] for b in range(3)}
+    for i, row in enumerate(kept):
+        want[row.src_bucket][0] += 1
+        if i and kept[i - 1].src_bucket == row.src_bucket:
+            want[row.src_bucket][1] += rank(kept[i - 1]) > rank(row)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = tables.stored_order(stored)
+        assert {r.src_bucket: [r.n_edges, r.out_of_order] for r in found.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") > plan.index("Exchange hashpartitioning(file")
