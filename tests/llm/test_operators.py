@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -103,6 +104,26 @@ def test_mix(messy, nothing):
     assert mixing.mixed_documents(nothing, mixing.mix_sources(nothing)).collect() == []
 
 
+def test_the_mix_shuffles_texts_once(spark):
+    """Numbering equal rows and joining the plan share a shuffle; each took one of all texts."""
+    rows = [(i // 3 if i % 7 else None, f"text {i // 6} of words", "a" if i % 2 else None) for i in range(60)]
+    docs = stored(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "docs")
+    plan = stored(mixing.mix_sources(docs), "plan")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mixed = mixing.mixed_documents(docs, plan)
+        text = mixed._jdf.queryExecution().executedPlan().toString().split("HashAggregate")[0]
+        assert text.count("Exchange hashpartitioning") - 1 == 1  # that of the plan comes before its grouping
+        want, got = Counter(), Counter((r.doc_id, r.text) for r in mixed.collect())
+        for r in plan.collect():
+            want[r.doc_id] += r.copies
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(got.values()) == sum(want.values()) > 0
+    assert {i: sum(n for (j, _), n in got.items() if j == i) for i in want if want[i]} == {i: n for i, n in want.items() if n}
+
+
 def test_near_duplicates(messy, nothing):
     rows = near_dedup.near_duplicates(messy).collect()
     assert len(rows) == 10

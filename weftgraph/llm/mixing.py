@@ -154,29 +154,29 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as ``plan`` from ``mix_sources`` takes it.
 
-    Rows equal in id and text are told apart by number, so each gets its own copies.
+    Rows equal in id and text are told apart by number, so each gets its own copies: the plan
+    says how many of them are taken a first time, a second time and so on. Rows are numbered and
+    joined by the same key, so texts are shuffled once. The id is in a struct, since null
+    equals null in there.
     """
-    key, place, number, wanted = fresh(docs, "mix_id", "mix_place", "mix_number", "mix_copies")
-    nth = F.row_number().over(Window.partitionBy(key, place).orderBy(place))
-    taken = (
-        plan.select(F.col(id_col).alias(key), F.col("shuffle").alias(place), F.col("copies").alias(wanted))
-        .withColumn(number, nth)
-        .where(F.col(wanted) > 0)
+    key, place, number, turn, rows = fresh(docs, "mix_key", "mix_place", "mix_number", "mix_turn", "mix_rows")
+    wanted = (
+        plan.where("copies > 0")
+        .select(
+            F.struct(F.col(id_col).alias("id")).alias(key),
+            F.col("shuffle").alias(place),
+            F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(turn),
+        )
+        .groupBy(key, place, turn)
+        .agg(F.count(F.lit(1)).alias(rows))
     )
-    rows = (
-        docs.withColumn(key, F.col(id_col))
+    numbered = (
+        docs.withColumn(key, F.struct(F.col(id_col).alias("id")))
         .withColumn(place, shuffle_key(seed, id_col, text_col))
-        .withColumn(number, nth)
+        .withColumn(number, F.row_number().over(Window.partitionBy(key, place).orderBy(place)))
     )
-    mine, theirs = rows.alias("mine"), taken.alias("theirs")
-    same = [
-        F.col(f"mine.{c}").eqNullSafe(F.col(f"theirs.{c}")) for c in (key, place, number)
-    ]
     return (
-        mine.join(theirs, same)
-        .select(
-            *[F.col(f"mine.`{c}`").alias(c) for c in docs.columns],
-            F.explode(F.sequence(F.lit(1), F.col(f"theirs.{wanted}"))).alias(wanted),
-        )
-        .drop(wanted)
+        numbered.join(wanted, [key, place])
+        .where(F.col(number) <= F.col(rows))
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
