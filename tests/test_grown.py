@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.operators import blocks, clustering
 from weftgraph.operators.edges import both_ways, symmetrize, undirected
+from weftgraph.plans import metrics
 from weftgraph.session import materialize
 from weftgraph.sources import tables
 from weftgraph.sources.keyed import filter_cells, possible_keys
@@ -120,3 +121,14 @@ def test_stored_edges_come_back_in_both_directions(spark):
     back = both_ways(undirected(edges))
     assert back.dtypes == edges.dtypes and back.count() == edges.count()
     assert back.exceptAll(edges).isEmpty()
+
+
+def test_metrics_keep_triangles_per_vertex_only(micro, monkeypatch):
+    """Closed edges with their corners are many times larger than a count for each vertex."""
+    widths = []
+    kept = metrics.materialize
+    monkeypatch.setattr(metrics, "materialize", lambda df, *m: widths.append(df.columns) or kept(df, *m))
+    found = {(r.metric, r.field): r.value for r in metrics.run_metrics(micro, sources=5).collect()}
+    assert widths[0] == ["id", "triangles"]
+    assert found["clustering", "triangles"] == found["local_clustering", "triangles"] == 1
+    assert found["clustering", "transitivity"] == 3 / found["clustering", "wedges"]
