@@ -132,3 +132,16 @@ def test_metrics_keep_triangles_per_vertex_only(micro, monkeypatch):
     assert widths[0] == ["id", "triangles"]
     assert found["clustering", "triangles"] == found["local_clustering", "triangles"] == 1
     assert found["clustering", "transitivity"] == 3 / found["clustering", "wedges"]
+
+
+def test_an_append_groups_both_sides_in_one_shuffle(spark):
+    stored = spark.createDataFrame([(1, 7), (None, 7)], "src bigint, dst bigint")
+    batch = spark.createDataFrame([(1, 7), (1, 8), (1, 8), (None, 7), (None, 8), (None, None)], "src bigint, dst bigint")
+    new = tables._absent_from_files(stored, batch, ["src", "dst"])
+    assert new.dtypes == batch.dtypes
+    assert sorted(map(tuple, new.collect()), key=str) == sorted([(1, 8), (None, 8), (None, None)], key=str)
+    plan = new._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    rows = spark.createDataFrame([(2, "b", 1), (2, "a", 2), (1, "c", 3)], "dst bigint, v string, n int")
+    (row,) = tables._absent_from_files(stored.where("src = 1").selectExpr("src as dst"), rows, ["dst"]).collect()
+    assert row.dst == 2 and (row.v, row.n) in (("b", 1), ("a", 2))
