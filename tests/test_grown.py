@@ -8,11 +8,12 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from weftgraph.operators import blocks, clustering
 from weftgraph.operators.edges import both_ways, symmetrize, undirected
-from weftgraph.plans import metrics
+from weftgraph.plans import metrics, queries
 from weftgraph.session import materialize
 from weftgraph.sources import tables
 from weftgraph.sources.keyed import filter_cells, possible_keys
@@ -145,3 +146,11 @@ def test_an_append_groups_both_sides_in_one_shuffle(spark):
     rows = spark.createDataFrame([(2, "b", 1), (2, "a", 2), (1, "c", 3)], "dst bigint, v string, n int")
     (row,) = tables._absent_from_files(stored.where("src = 1").selectExpr("src as dst"), rows, ["dst"]).collect()
     assert row.dst == 2 and (row.v, row.n) in (("b", 1), ("a", 2))
+
+
+def test_load_counts_derives_its_edges_once(spark, monkeypatch):
+    """They are counted and then written, and were joined and de-duplicated for each."""
+    given = []
+    monkeypatch.setattr(tables, "write_graph", lambda vertices, edges, *path, **options: given.append(edges))
+    queries.load_counts(spark, SMALL)
+    assert "Join" not in given[0]._jdf.queryExecution().executedPlan().toString()
