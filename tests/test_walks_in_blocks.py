@@ -107,3 +107,20 @@ def test_transitivity_counts_degrees_once(spark, monkeypatch):
     found = clustering.transitivity(dense(spark, 20)).first()
     assert (found.triangles, found.wedges, found.transitivity) == (1140, 3420, 1.0)
     assert counted == [1]
+
+
+def test_lists_are_sent_as_gaps():
+    """Ids of any size come back, and near ones take far less than the eight bytes they were sent in."""
+    draw = np.random.default_rng(6)
+    lists = [sorted(set(draw.integers(0, 300 * n, n).tolist())) for n in range(1, 400)]
+    lists += [[-(2**63), 2**63 - 1], [-5, -5, 0, 1 << 40], [7]]
+    batch = pa.RecordBatch.from_pydict(
+        {"a": list(range(len(lists))), "degree": [1] * len(lists), "heads": pa.array(lists, pa.list_(pa.int64()))}
+    )
+    parts = [batch.slice(0, 11), batch.slice(11), batch.slice(0, 0)]
+    packed = list(clustering._packed(iter(parts)))
+    for part, made in zip(parts, packed):
+        assert clustering._unpacked(made).column("heads").to_pylist() == part.column("heads").to_pylist()
+    tail = clustering._unpacked(packed[1].slice(5, 300))
+    assert tail.column("heads").to_pylist() == lists[16:316]
+    assert packed[1].column("gaps").nbytes < 2.2 * sum(map(len, lists))
