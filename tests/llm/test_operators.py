@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -21,7 +22,7 @@ from weftgraph.llm import (
     substring_dedup,
     vector_search,
 )
-from weftgraph.llm.common import stored
+from weftgraph.llm.common import BATCH_SETTING, BYTES_PER_BATCH, in_batches, stored
 from weftgraph.llm.queries import tokenizer_path
 
 # ``id``, ``size``, ``row``, ``n``, ``kept`` ... are names that the operators use inside.
@@ -320,3 +321,22 @@ def test_pipeline_of_nothing(spark, corpus, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{corpus}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_tasks_get_batches_of_bounded_bytes(spark):
+    rows = spark.range(0, 6_000, 1, 1).selectExpr("id", "repeat('x', 2000) AS text")
+
+    def measured(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    found = in_batches(rows, measured, "n long, bytes long").collect()
+    assert sum(row["n"] for row in found) == 6_000
+    assert max(row["bytes"] for row in found) < BYTES_PER_BATCH + 10_000
+
+
+def test_batch_size_of_the_session_stays(spark):
+    own = spark.newSession()
+    own.conf.set(BATCH_SETTING, "1000000")
+    in_batches(own.range(1), lambda batches: batches, "id long")
+    assert own.conf.get(BATCH_SETTING) == "1000000"
