@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from weftgraph.operators import blocks, pagerank, paths
 from weftgraph.operators.blocks import BlockLayout
 from weftgraph.operators.edges import symmetrize
+from weftgraph.operators.layout import EdgeLayout
+from weftgraph.plans import metrics
 from weftgraph.session import cut, discard, materialize
+from weftgraph.sources import keyed, tables
+from weftgraph.sources.keyed import KeyedTable
 
 
 def shuffle_files(spark) -> set[str]:
@@ -95,3 +99,45 @@ def test_strips_and_shares_give_the_same(spark, monkeypatch):
     got = run()
     assert got == [pytest.approx(want[0]), pytest.approx(want[1]), want[2]]
     assert len(cuts) > 8 and not any(os.path.exists(path.removeprefix("file:")) for _, _, path in cuts)
+
+
+def test_metrics_walk_over_blocks(micro, monkeypatch):
+    """Target arrays send a row per edge and batch of sources, and a second copy of the edges is stored for them."""
+    layouts, walked = [], metrics.betweenness
+    monkeypatch.setattr(metrics, "betweenness", lambda *a, layout, **k: layouts.append(layout) or walked(*a, layout=layout, **k))
+    monkeypatch.setattr(EdgeLayout, "step", None)
+    found = {(r.metric, r.field): r.value for r in metrics.run_metrics(micro, sources=5, iterations=2).collect()}
+    assert [type(x) for x in layouts] == [BlockLayout] and not layouts[0].edges.is_cached
+    assert found["betweenness", "3"] == 4.0
+
+
+def test_keyed_writes_go_some_buckets_at_a_time(spark, tmp_path, monkeypatch):
+    writes, write = [], KeyedTable._write
+    monkeypatch.setattr(KeyedTable, "_write", lambda self, *a: writes.append(write(self, *a)) or writes[-1])
+    monkeypatch.setattr(keyed, "BUCKETS_AT_ONCE", 3)
+    before = shuffle_files(spark)
+    stored = KeyedTable.create(spark.range(50).selectExpr("id as k", "'old' as v"), str(tmp_path / "t"), ["k"], 8)
+    assert [len(touched) for *_, touched in writes] == [3, 3, 2] and stored.version().number == 1
+    batch = spark.range(40, 90).selectExpr("if(id = 89, null, id) as k", "'new' as v")
+    told = stored.append_absent(batch.unionAll(batch))
+    assert told["rows"] == 40 and told["buckets"] == 8 and len(writes) == 6
+    # Once more adds nothing, and no version.
+    assert stored.append_absent(batch)["rows"] == 0 and len(writes) == 6 and stored.version().number == 2
+    want = {(i, "old") for i in range(50)} | {(i, "new") for i in range(50, 89)} | {(None, "new")}
+    assert stored.read().count() == 90 and {tuple(r) for r in stored.read().collect()} == want
+    assert stored.lookup(88).first().v == "new" and len(shuffle_files(spark) - before) < 60
+
+
+def test_appended_edges_are_grouped_part_by_part(spark, tmp_path, monkeypatch):
+    cuts, kept, path = [], tables.cut, str(tmp_path / "g")
+    vertices = spark.range(30).withColumn("attr", F.lit("x"))
+    old = symmetrize(spark.range(29).selectExpr("id as a", "id + 1 as b"))
+    new = symmetrize(spark.range(28).selectExpr("id as a", "id + 2 as b").unionAll(spark.range(9).selectExpr("id", "id + 1")))
+    tables.write_graph(vertices, old, path, 4, "attr")
+    monkeypatch.setattr(tables, "EDGES_AT_ONCE", 30)
+    monkeypatch.setattr(tables, "cut", lambda df, *m: cuts.append(kept(df, *m)) or cuts[-1])
+    assert tables.append_to_graph(spark, path, edges=new)["edges"] == 56 and len(cuts) == 1 + 3
+    assert tables.append_to_graph(spark, path, edges=new)["edges"] == 0
+    assert not any(os.path.exists(p.removeprefix("file:")) for *_, p in cuts)
+    edges = tables.open_graph(spark, path).graph.edges.select("src", "dst")
+    assert sorted(map(tuple, edges.collect())) == sorted(map(tuple, old.unionAll(new).distinct().collect()))
