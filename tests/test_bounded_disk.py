@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from weftgraph.operators import blocks, pagerank, paths
+from weftgraph.operators import blocks, clustering, pagerank, paths
 from weftgraph.operators.blocks import BlockLayout
 from weftgraph.operators.edges import symmetrize
 from weftgraph.operators.layout import EdgeLayout
@@ -141,3 +141,18 @@ def test_appended_edges_are_grouped_part_by_part(spark, tmp_path, monkeypatch):
     assert not any(os.path.exists(p.removeprefix("file:")) for *_, p in cuts)
     edges = tables.open_graph(spark, path).graph.edges.select("src", "dst")
     assert sorted(map(tuple, edges.collect())) == sorted(map(tuple, old.unionAll(new).distinct().collect()))
+
+
+def test_lists_are_sent_to_some_shards_at_a_time(spark, monkeypatch):
+    ids = spark.range(24)
+    edges = symmetrize(ids.selectExpr("id as a").crossJoin(ids.selectExpr("id as b")).where("a < b")).checkpoint()
+    for name, value in {"MOST_COLOURS": 0, "CLOSERS_PER_TASK": 60, "SENT_LEAST": 1, "SENT_PER_EDGE": 1}.items():
+        monkeypatch.setattr(clustering, name, value)
+    parts = clustering.closed_parts(edges)
+    assert len(parts) > 2 and all(part.count() for part in parts)
+    stored, kept = [], clustering.materialize
+    monkeypatch.setattr(clustering, "materialize", lambda df, *m: stored.append(df.columns) or kept(df, *m))
+    assert clustering.triangle_count(edges).first().triangles == 24 * 23 * 22 // 6
+    assert stored.count(["triangles"]) == len(parts)
+    assert {tuple(r) for r in clustering.vertex_triangles(edges).collect()} == {(i, 23 * 22 // 2) for i in range(24)}
+    assert clustering.triangle_list(edges).distinct().count() == 24 * 23 * 22 // 6
