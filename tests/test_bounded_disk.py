@@ -137,7 +137,7 @@ def test_appended_edges_are_grouped_part_by_part(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tables, "EDGES_AT_ONCE", 30)
     monkeypatch.setattr(tables, "cut", lambda df, *m: cuts.append(kept(df, *m)) or cuts[-1])
     assert tables.append_to_graph(spark, path, edges=new)["edges"] == 56 and len(cuts) == 1 + 3
-    assert tables.append_to_graph(spark, path, edges=new)["edges"] == 0
+    assert tables.append_to_graph(spark, path, edges=new, from_files=True)["edges"] == 0 and len(cuts) == 4 + 3
     assert not any(os.path.exists(p.removeprefix("file:")) for *_, p in cuts)
     edges = tables.open_graph(spark, path).graph.edges.select("src", "dst")
     assert sorted(map(tuple, edges.collect())) == sorted(map(tuple, old.unionAll(new).distinct().collect()))
